@@ -1,0 +1,22 @@
+"""Shared folders for data that a job writes and reads back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share, as named by the session; local sessions may go without."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="barwright-")
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    return f"{shared_root(spark)}/barwright-{purpose}-{uuid.uuid4().hex[:12]}"
