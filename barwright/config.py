@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -82,3 +84,25 @@ def configure_session(spark: SparkSession) -> SparkSession:
     # Nanosecond timestamps arrive as bigint and are converted on read.
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     return spark
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Set session options around one action."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def listing_conf(spark: SparkSession) -> dict[str, str]:
+    """List many day directories in a few tasks per core instead of one task each."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}

@@ -43,31 +43,39 @@ def rolling_columns(spec: FeatureSpec, partition: list[str], order: list[str]) -
     return columns
 
 
-def with_rolling(bars: DataFrame, spec: FeatureSpec, one_bar_per_day: bool = False) -> DataFrame:
+def with_rolling(
+    bars: DataFrame, spec: FeatureSpec, one_bar_per_day: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
     """Add the rolling columns to clean bars.
 
     ``one_bar_per_day`` states that (Ticker, Date) is unique, so that a ticker
-    cannot exceed the number of calendar days; otherwise one aggregate over the
-    ``Ticker`` column looks for oversized tickers first.
+    cannot exceed the number of calendar days. Otherwise the bars per ticker
+    are looked at first; ``counts`` gives them if the caller has them already.
     """
-    order = ["Date", *TIE_BREAK, *[c for c in bars.columns if c not in ("Date", "Ticker", *TIE_BREAK)]]
     if one_bar_per_day:
-        return _by_ticker(bars, spec, order)
-    hot = hot_tickers(bars, spec.hot_rows)
+        return _by_ticker(bars, spec, ["Date"])
+    order = ["Date", *TIE_BREAK, *[c for c in bars.columns if c not in ("Date", "Ticker", *TIE_BREAK)]]
+    if counts is None:
+        counts = ticker_counts(bars)
+    hot = hot_tickers(counts, spec.hot_rows)
     if not hot:
         return _by_ticker(bars, spec, order)
-    rows = sum(hot.values())
     if len(hot) > _MAX_LISTED_TICKERS:
-        return _by_pieces(bars, spec, order, bars.count())
+        rows = counts.agg(F.sum("n_bars")).first()[0]
+        return _by_pieces(bars, spec, order, rows)
     listed = F.col("Ticker").isin(list(hot))
     cold = _by_ticker(bars.where(~listed), spec, order)
-    return cold.unionByName(_by_pieces(bars.where(listed), spec, order, rows))
+    return cold.unionByName(_by_pieces(bars.where(listed), spec, order, sum(hot.values())))
+
+
+def ticker_counts(bars: DataFrame) -> DataFrame:
+    return bars.groupBy("Ticker").agg(F.count("*").alias("n_bars"))
 
 
-def hot_tickers(bars: DataFrame, limit: int) -> dict[str, int]:
-    """Tickers with more than ``limit`` bars, at most a list's worth of them."""
-    counts = bars.groupBy("Ticker").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    return {r["Ticker"]: r["n"] for r in counts.limit(_MAX_LISTED_TICKERS + 1).collect()}
+def hot_tickers(counts: DataFrame, limit: int) -> dict[str, int]:
+    """Tickers with more than ``limit`` bars; at most one more than a predicate may list."""
+    found = counts.where(F.col("n_bars") > limit).limit(_MAX_LISTED_TICKERS + 1)
+    return {r["Ticker"]: r["n_bars"] for r in found.collect()}
 
 
 def _by_ticker(bars: DataFrame, spec: FeatureSpec, order: list[str]) -> DataFrame:

@@ -43,26 +43,40 @@ def narrow_bars(bars: DataFrame, spec: FeatureSpec) -> DataFrame:
     return bars.select(*RAW_COLUMNS, complete.alias(_COMPLETE))
 
 
-def features(bars: DataFrame, spec: FeatureSpec = FeatureSpec(), one_bar_per_day: bool = False) -> DataFrame:
+def features(
+    bars: DataFrame,
+    spec: FeatureSpec = FeatureSpec(),
+    one_bar_per_day: bool = False,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Refined columns of every bar, unrounded, with nulls where a window is not full yet."""
-    rolled = with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day)
+    return _named(with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day, counts), spec)
+
+
+def _named(rolled: DataFrame, spec: FeatureSpec) -> DataFrame:
     named = {
         **{new: F.col(old) for old, new in RAW_TO_SILVER.items()},
         "nome_acao": normalize_ticker(F.col("Ticker")),
         "variacao_pct_dia": pct_change(F.col("Open"), F.col("Close")),
         "amplitude_dia": F.col("High") - F.col("Low"),
     }
-    flag = [_COMPLETE] if _COMPLETE in rolled.columns else []
-    return rolled.select(*[named.get(c, F.col(c)).alias(c) for c in spec.silver_schema.fieldNames()], *flag)
+    return rolled.select(*[named.get(c, F.col(c)).alias(c) for c in spec.silver_schema.fieldNames()])
 
 
-def silver(bars: DataFrame, spec: FeatureSpec = FeatureSpec(), one_bar_per_day: bool = False) -> DataFrame:
+def silver(
+    bars: DataFrame,
+    spec: FeatureSpec = FeatureSpec(),
+    one_bar_per_day: bool = False,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Clean bars to the refined table.
 
     Rows without a full longest window are dropped, so the first 29 bars of
     each ticker do not appear.
     """
-    df = features(bars, spec, one_bar_per_day)
-    if _COMPLETE in df.columns:
-        df = df.where(_COMPLETE).drop(_COMPLETE)
-    return round_floats(no_nulls(df), spec.rounding)
+    rolled = with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day, counts)
+    # The other refined columns are null exactly where one of these is.
+    complete = no_nulls(rolled, [c for c in rolled.columns if c != _COMPLETE])
+    if _COMPLETE in rolled.columns:
+        complete = complete.where(_COMPLETE)
+    return round_floats(_named(complete, spec), spec.rounding)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,11 +13,12 @@ from barwright import schema
 from barwright.config import PipelineConfig, RunResult
 from barwright.functions import day_text
 from barwright.operators.gold import monthly
+from barwright.operators.rolling import TIE_BREAK, ticker_counts
 from barwright.operators.silver import silver
 from barwright.plans.serve import table_stats
 from barwright.sinks import catalog
 from barwright.sinks.files import save_partitioned
-from barwright.sources.raw import read_bars
+from barwright.sources.raw import bars_of, raw_frames
 from barwright.sources.tables import read_partitions
 
 log = logging.getLogger(__name__)
@@ -32,96 +34,114 @@ def run(spark: SparkSession, cfg: PipelineConfig, dry_run: bool = False) -> RunR
     Only partitions with rows in this run are replaced. ``dry_run`` reads and
     counts, and publishes nothing.
     """
-    bars = _read(spark, cfg)
-    if bars.isEmpty():
+    bars = bars_of(raw_frames(spark, cfg.raw_path, cfg.raw_schema), cfg.market_tz, cfg.universe)
+    # A row per ticker; serves the run's statistics and the check for oversized tickers.
+    counts = ticker_counts(bars).persist()
+    try:
+        rows, tickers = counts.agg(F.sum("n_bars"), F.count("*")).first()
+        if not rows:
+            return RunResult("no_data")
+        if dry_run:
+            return RunResult("dry_run", raw_rows=rows, raw_tickers=tickers)
+        return _publish(spark, cfg, silver(bars, cfg.features, counts=counts), rows, tickers)
+    finally:
+        counts.unpersist()
+
+
+def run_changed(spark: SparkSession, cfg: PipelineConfig, new: DataFrame) -> RunResult:
+    """Recompute what newly landed bars can change, with the result of a full run.
+
+    ``new`` are the clean bars that arrived. A bar changes its own and the next
+    29 refined rows of its ticker, and the months they lie in. The run rewrites
+    the refined days from the oldest new bar to the last row it can reach, out
+    of the bars of that span and the 29 before it per ticker; then the touched
+    months out of the refined table.
+    """
+    since, until = new.agg(F.min("Date"), F.max("Date")).first()
+    if since is None:
         return RunResult("no_data")
-    stats = table_stats(bars, "Ticker").first()
-    if dry_run:
-        return RunResult("dry_run", raw_rows=stats["n_rows"], raw_tickers=stats["n_tickers"])
-    return _publish(spark, cfg, silver(bars, cfg.features), stats, None)
+    frames = raw_frames(spark, cfg.raw_path, cfg.raw_schema)
+    read = partial(bars_of, frames, cfg.market_tz, cfg.universe)
+    last = _last_reached(read, until, cfg.features.depth)
+    recent = read(first=since - dt.timedelta(days=_DAYS_PER_BAR * cfg.features.depth), last=last)
+    before = F.col("Date") < since
+    counts = (
+        recent.groupBy("Ticker")
+        .agg(F.count("*").alias("n_bars"), F.count(F.when(before, 1)).alias("n_before"))
+        .where(F.col("n_bars") > F.col("n_before"))
+        .persist()
+    )
+    try:
+        rows, tickers = counts.agg(F.sum(F.col("n_bars") - F.col("n_before")), F.count("*")).first()
+        bars = _with_history(read, recent, counts, since, cfg.features.depth)
+        fresh = silver(bars, cfg.features, counts=counts).where(F.col("data_pregao") >= since)
+        return _publish(spark, cfg, fresh, rows, tickers, since, last)
+    finally:
+        counts.unpersist()
 
 
-def run_since(spark: SparkSession, cfg: PipelineConfig, since: dt.date) -> RunResult:
-    """Recompute what bars from ``since`` on can change, with the result of a full run.
+def _last_reached(read, until: dt.date, depth: int) -> dt.date:
+    """The last day on which any ticker has one of its ``depth`` bars after ``until``.
 
-    A new bar changes its own and the next 29 refined rows of its ticker and
-    the months they lie in. The run reads the bars from ``since`` on plus the 29
-    before it per ticker, rewrites the refined days from ``since`` on, and then
-    the months from there on out of the refined table.
+    All tickers count, since a day that is landed again may also lose bars.
     """
-    bars = bars_with_history(spark, cfg, since)
-    if bars.isEmpty():
-        return RunResult("no_data")
-    fresh = silver(bars, cfg.features).where(F.col("data_pregao") >= since)
-    stats = table_stats(bars.where(F.col("Date") >= since), "Ticker").first()
-    return _publish(spark, cfg, fresh, stats, since)
+    later = read(first=until + dt.timedelta(days=1)).select("Ticker", "Date")
+    # The rank limit is applied before the exchange too: no task passes on more than depth bars of a ticker.
+    oldest = Window.partitionBy("Ticker").orderBy("Date")
+    reached = later.withColumn("_rank", F.row_number().over(oldest)).where(F.col("_rank") <= depth)
+    return reached.agg(F.max("Date")).first()[0] or until
 
 
-def bars_with_history(spark: SparkSession, cfg: PipelineConfig, since: dt.date) -> DataFrame:
-    """Bars from ``since`` on and, for each of their tickers, the ``depth`` bars before it.
+def _with_history(read, recent: DataFrame, counts: DataFrame, since: dt.date, depth: int) -> DataFrame:
+    """``recent`` bars plus what is missing of the ``depth`` bars before ``since`` of each ticker.
 
-    A recent range normally holds them; older files are searched only for
-    tickers that are short of bars there, for example thinly traded ones.
+    The recent range normally holds them; older files are searched only for
+    tickers that are short of bars there, such as thinly traded or new ones.
     """
-    depth = cfg.features.depth
     start = since - dt.timedelta(days=_DAYS_PER_BAR * depth)
-    recent = _read(spark, cfg, first=start)
-    old = F.col("Date") < since
-    seen = recent.groupBy("Ticker").agg(
-        F.count(F.when(old, 1)).alias("_have"), F.count(F.when(~old, 1)).alias("_new")
-    )
-    short = seen.where((F.col("_new") > 0) & (F.col("_have") < depth)).select("Ticker", "_have")
+    short = counts.where(F.col("n_before") < depth).select("Ticker", "n_before")
     listed = [r["Ticker"] for r in short.limit(_MAX_LISTED_TICKERS + 1).collect()]
     if not listed:
         return recent
-    earlier = _read(spark, cfg, last=start - dt.timedelta(days=1))
+    earlier = read(last=start - dt.timedelta(days=1))
     if len(listed) <= _MAX_LISTED_TICKERS:
         earlier = earlier.where(F.col("Ticker").isin(listed))
-    # The rank limit is applied before the exchange as well, so no ticker brings more than depth bars per task.
-    others = [c for c in earlier.columns if c not in ("Ticker", "Date")]
-    newest = Window.partitionBy("Ticker").orderBy(*[F.desc(c) for c in ("Date", *_tie_break_first(others))])
+    newest = Window.partitionBy("Ticker").orderBy(*[F.desc(c) for c in ("Date", *TIE_BREAK)])
     last_bars = earlier.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= depth)
-    needed = last_bars.join(short, "Ticker").where(F.col("_rank") <= depth - F.col("_have"))
-    return recent.unionByName(needed.select(*recent.columns), allowMissingColumns=True)
-
-
-def _tie_break_first(columns: list[str]) -> list[str]:
-    from barwright.operators.rolling import TIE_BREAK
-
-    return [*[c for c in TIE_BREAK if c in columns], *[c for c in columns if c not in TIE_BREAK]]
-
-
-def _read(spark: SparkSession, cfg: PipelineConfig, first=None, last=None) -> DataFrame:
-    return read_bars(spark, cfg.raw_path, cfg.raw_schema, cfg.market_tz, cfg.universe, first, last)
-
-
-def _publish(spark, cfg: PipelineConfig, refined: DataFrame, stats, since: dt.date | None) -> RunResult:
+    missing = last_bars.join(short, "Ticker").where(F.col("_rank") <= depth - F.col("n_before"))
+    return recent.unionByName(missing.select(*recent.columns))
+
+
+def _publish(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    refined: DataFrame,
+    raw_rows: int,
+    raw_tickers: int,
+    since: dt.date | None = None,
+    last: dt.date | None = None,
+) -> RunResult:
+    """Write the refined rows, then the months of ``since..last`` (all of this run's if None), then the catalog."""
     silver_schema = cfg.features.silver_schema
+    write = partial(save_partitioned, sort_by=("nome_acao",), max_records_per_file=cfg.max_records_per_file)
     # The written days, a set no larger than the calendar. Unlike a count it stays right if a task runs twice.
     seen = Observation()
     observed = refined.observe(seen, F.collect_set(day_text(F.col(schema.SILVER_PARTITION))).alias("days"))
-    save_partitioned(
-        observed, cfg.silver_path, schema.SILVER_PARTITION, ("nome_acao",), cfg.max_records_per_file
-    )
+    write(observed, cfg.silver_path, schema.SILVER_PARTITION)
     days = set(seen.get["days"])
-    result = {"raw_rows": stats["n_rows"], "raw_tickers": stats["n_tickers"], "features": len(silver_schema)}
+    result = {"raw_rows": raw_rows, "raw_tickers": raw_tickers, "features": len(silver_schema)}
     if not days:
         return RunResult("ok", **result)
 
     # The monthly table reads the written one: durable, and only the columns it needs.
-    def written(**pruned):
-        return read_partitions(spark, cfg.silver_path, silver_schema, schema.SILVER_PARTITION, **pruned)
-
+    written = partial(read_partitions, spark, cfg.silver_path, silver_schema, schema.SILVER_PARTITION)
     this_run = written(keys=days)
+    if since is None:
+        source = this_run
+    else:
+        source = written(first=since.replace(day=1), last=_month_end(last))
+    write(monthly(source, cfg.features), cfg.gold_path, schema.GOLD_PARTITION)
     months = {day[:7] + "-01" for day in days}
-    source = this_run if since is None else written(since=since.replace(day=1))
-    save_partitioned(
-        monthly(source, cfg.features),
-        cfg.gold_path,
-        schema.GOLD_PARTITION,
-        ("nome_acao",),
-        cfg.max_records_per_file,
-    )
     gold = read_partitions(spark, cfg.gold_path, schema.GOLD_SCHEMA, schema.GOLD_PARTITION, keys=months)
     gold_stats = table_stats(gold, "nome_acao").first()
     ok, error = _register(spark, cfg, days, months) if cfg.register else (None, None)
@@ -136,25 +156,17 @@ def _publish(spark, cfg: PipelineConfig, refined: DataFrame, stats, since: dt.da
     )
 
 
-def _register(spark, cfg: PipelineConfig, days: set[str], months: set[str]) -> tuple[bool, str | None]:
+def _month_end(day: dt.date) -> dt.date:
+    return (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
+
+
+def _register(spark: SparkSession, cfg: PipelineConfig, days: set[str], months: set[str]) -> tuple[bool, str | None]:
     """Catalog entries; a failure is reported but does not undo the written data."""
+    silver_name, gold_name = f"{cfg.database}.{cfg.silver_table}", f"{cfg.database}.{cfg.gold_table}"
+    silver_schema = cfg.features.silver_schema
     try:
-        catalog.publish(
-            spark,
-            f"{cfg.database}.{cfg.silver_table}",
-            cfg.features.silver_schema,
-            schema.SILVER_PARTITION,
-            cfg.silver_path,
-            days,
-        )
-        catalog.publish(
-            spark,
-            f"{cfg.database}.{cfg.gold_table}",
-            schema.GOLD_SCHEMA,
-            schema.GOLD_PARTITION,
-            cfg.gold_path,
-            months,
-        )
+        catalog.publish(spark, silver_name, silver_schema, schema.SILVER_PARTITION, cfg.silver_path, days)
+        catalog.publish(spark, gold_name, schema.GOLD_SCHEMA, schema.GOLD_PARTITION, cfg.gold_path, months)
         return True, None
     except Exception as error:
         log.warning("catalog update failed, data is written: %s", error)

@@ -12,9 +12,9 @@ BAR = '"Date", "Ticker", "Open", "High", "Low", "Close", "Volume"'
 def _bars(ticker: str, name: str = "bars", where: str = "true") -> str:
     return f"""{name} AS (
   SELECT cast(l_shipdate AS date) AS "Date", {ticker} AS "Ticker",
-    arg_min(floor(l_extendedprice), row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS "Open",
+    arg_min(floor(l_extendedprice), row(l_orderkey, floor(l_extendedprice))) AS "Open",
     max(floor(l_extendedprice)) AS "High", min(floor(l_extendedprice)) AS "Low",
-    arg_max(floor(l_extendedprice), row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS "Close",
+    arg_max(floor(l_extendedprice), row(l_orderkey, floor(l_extendedprice))) AS "Close",
     cast(sum(l_quantity) AS bigint) AS "Volume"
   FROM lineitem WHERE {where} GROUP BY 1, 2)"""
 

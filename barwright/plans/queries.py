@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barwright import schema
 from barwright.config import FeatureSpec, PipelineConfig
-from barwright.functions import day_text, normalize_ticker, pct_change, round2
+from barwright.functions import day_text, month_start, normalize_ticker, pct_change, round2
 from barwright.operators import filters, shape
 from barwright.operators.clean import clean_bars
 from barwright.operators.gold import monthly
@@ -39,7 +39,7 @@ LATE_FIRST, LATE_LAST = dt.date(1998, 6, 1), dt.date(1998, 6, 30)
 TICKER = "no4"
 UNIVERSE = ("AF4.SA", "NO4.SA", "RF4.SA")
 # Small on purpose, so that the whole table goes through the path for oversized tickers.
-HOT_ROWS = 500
+HOT_ROWS = 2_000
 
 _done: dict[tuple, object] = {}
 
@@ -323,12 +323,12 @@ def lake_partitions(spark, sf_dir):
 
 
 def partition_overwrite(spark, sf_dir):
-    """Days from a bound on written again with doubled volume; the days before stay as they were."""
+    """Months from a bound on written again with doubled volume; the months before stay as they were."""
     path = new_folder(spark, "overwrite")
-    bars = dense_bars(spark, sf_dir)
-    save_partitioned(bars, path, "Date")
-    newer = filters.between_days(bars, SINCE, None)
-    save_partitioned(newer.withColumn("Volume", F.col("Volume") * 2), path, "Date")
+    bars = dense_bars(spark, sf_dir).withColumn("month", month_start(F.col("Date")))
+    save_partitioned(bars, path, "month")
+    newer = bars.where(F.col("month") >= SINCE)
+    save_partitioned(newer.withColumn("Volume", F.col("Volume") * 2), path, "month")
     return spark.read.parquet(path).groupBy("Date").agg(F.sum("Volume").alias("volume"))
 
 

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barwright.config import session_conf
 from barwright.functions import day_text, to_day
 from barwright.schema import RAW_PARTITION
 
 
+# Many small day files cost by number, not by bytes, so adaptive execution may keep small tasks apart here.
+_WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
+
+
 def save_partitioned(
     df: DataFrame, path: str, column: str, sort_by: tuple[str, ...] = (), max_records_per_file: int = 0
 ) -> None:
@@ -18,15 +23,16 @@ def save_partitioned(
     that is much larger than others into several tasks.
     """
     keyed = df.withColumn(column, day_text(F.col(column)))
-    (
+    writer = (
         keyed.hint("rebalance", column)
         .sortWithinPartitions(column, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(column)
-        .parquet(path)
     )
+    with session_conf(df.sparkSession, _WRITE_CONF):
+        writer.parquet(path)
 
 
 def land_raw(df: DataFrame, path: str, market_tz: str = "UTC") -> None:

@@ -6,11 +6,13 @@ import datetime as dt
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwright.config import listing_conf, session_conf
 from barwright.functions import nanos_to_timestamp
 from barwright.operators.clean import clean_bars
 from barwright.operators.filters import between_days, in_universe
@@ -31,7 +33,8 @@ def scan_files(
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOB)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.option("mergeSchema", merge).parquet(*([paths] if isinstance(paths, str) else paths))
+    with session_conf(spark, listing_conf(spark)):
+        df = reader.option("mergeSchema", merge).parquet(*([paths] if isinstance(paths, str) else paths))
     if "Date" in df.columns and isinstance(df.schema["Date"].dataType, T.LongType):
         df = df.withColumn("Date", nanos_to_timestamp(F.col("Date")))
     return df
@@ -50,23 +53,20 @@ def raw_frames(
         return [scan_files(spark, paths, schema, merge=False)]
     try:
         return [scan_files(spark, paths)]
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     return [scan_files(spark, group) for group in group_by_types(footer_types(spark, paths))]
 
 
-def read_bars(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    schema: T.StructType | None = None,
+def bars_of(
+    frames: Sequence[DataFrame],
     market_tz: str = "UTC",
     universe: Sequence[str] | None = None,
     first: dt.date | None = None,
     last: dt.date | None = None,
 ) -> DataFrame:
-    """Clean long bars of all raw files. Day bounds reach the Parquet scan as predicates."""
-    frames = raw_frames(spark, paths, schema)
+    """Clean long bars of raw frames. Day bounds reach the Parquet scan as predicates."""
     wide = any(is_wide(df.columns) for df in frames)
     cleaned = []
     for df in frames:
@@ -77,15 +77,16 @@ def read_bars(
     return bars if universe is None else in_universe(bars, list(universe))
 
 
+def read_bars(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None, **how) -> DataFrame:
+    """Clean long bars of all raw files below the paths; ``how`` as for ``bars_of``."""
+    return bars_of(raw_frames(spark, paths, schema), **how)
+
+
 def footer_types(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[str, dict[str, str]]]:
     """Path and column types of each raw file; footers are read in tasks, only metadata reaches the driver."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", _GLOB)
-        .load([paths] if isinstance(paths, str) else list(paths))
-        .select("path")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOB)
+    with session_conf(spark, listing_conf(spark)):
+        listing = reader.load([paths] if isinstance(paths, str) else list(paths)).select("path")
     rows = listing.mapInPandas(_read_footers, "path string, types map<string,string>").collect()
     return [(r["path"], r["types"]) for r in rows]
 

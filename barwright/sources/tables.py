@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwright.config import listing_conf, session_conf
+
 
 def as_stored(schema: T.StructType, partition: str) -> T.StructType:
     """The stored form of a table: the partition key is text and comes last."""
@@ -22,14 +24,18 @@ def read_partitions(
     schema: T.StructType,
     partition: str,
     keys: Collection[str] | None = None,
-    since: dt.date | None = None,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
 ) -> DataFrame:
-    """A written table with its key as a date; ``keys`` and ``since`` prune partitions."""
-    df = spark.read.schema(as_stored(schema, partition)).parquet(path)
+    """A written table with its key as a date; ``keys``, ``first`` and ``last`` prune partitions."""
+    with session_conf(spark, listing_conf(spark)):
+        df = spark.read.schema(as_stored(schema, partition)).parquet(path)
     if keys is not None:
         df = df.where(F.col(partition).isin(sorted(keys)))
-    if since is not None:
-        df = df.where(F.col(partition) >= since.isoformat())
+    if first is not None:
+        df = df.where(F.col(partition) >= first.isoformat())
+    if last is not None:
+        df = df.where(F.col(partition) <= last.isoformat())
     return df.withColumn(partition, F.col(partition).cast("date")).select(*schema.fieldNames())
 
 

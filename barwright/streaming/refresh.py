@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barwright.config import PipelineConfig, RunResult
-from barwright.plans.job import run, run_since
+from barwright.plans.job import run, run_changed
 from barwright.sources.raw import read_bars
 
 
+# Fixed value: what the file listing source offers. Only the path is selected, so no content is read.
+_FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def refresh_on_new_files(
     spark: SparkSession,
     cfg: PipelineConfig,
@@ -23,8 +27,8 @@ def refresh_on_new_files(
 ) -> StreamingQuery:
     """Start a query that processes the raw files that arrived since the last one and then stops.
 
-    The stream carries file names only, whatever the files' schemas. The oldest
-    day among the new bars decides what is recomputed, so late bars are right;
+    The stream carries file names only, whatever the files' schemas. What is
+    recomputed follows from the days of the new bars, so late bars are right;
     ``full`` recomputes everything. A batch that is repeated after a failure
     rewrites the same partitions.
     """
@@ -37,16 +41,14 @@ def refresh_on_new_files(
         if full:
             result = run(session, cfg)
         else:
-            new = read_bars(session, paths, cfg.raw_schema, cfg.market_tz, cfg.universe)
-            since = new.agg(F.min("Date").alias("day")).first()["day"]
-            if since is None:
-                return
-            result = run_since(session, cfg, since)
+            new = read_bars(session, paths, cfg.raw_schema, market_tz=cfg.market_tz, universe=cfg.universe)
+            result = run_changed(session, cfg, new)
         if on_result:
             on_result(batch_id, result)
 
     files = (
         spark.readStream.format("binaryFile")
+        .schema(_FILE_LISTING)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
