@@ -57,5 +57,6 @@ def in_universe(df: DataFrame, tickers: Sequence[str] | DataFrame, column: str =
     """
     if isinstance(tickers, DataFrame):
         listed = tickers.select(F.col(tickers.columns[0]).alias(column))
-        return df.join(listed, column, "left_semi")
+        kept = df.join(listed, column, "left_semi")
+        return kept.select(*[F.col(f"`{c}`") for c in df.columns])
     return df.where(F.col(column).isin(list(tickers)))

@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,7 +110,7 @@ def _with_history(read, recent: DataFrame, counts: DataFrame, since: dt.date, de
     newest = Window.partitionBy("Ticker").orderBy(*[F.desc(c) for c in ("Date", *TIE_BREAK)])
     last_bars = earlier.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= depth)
     missing = last_bars.join(short, "Ticker").where(F.col("_rank") <= depth - F.col("n_before"))
-    return recent.unionByName(missing.select(*recent.columns))
+    return recent.unionByName(missing.drop("_rank", "n_before"))
 
 
 def _publish(
@@ -128,7 +129,7 @@ def _publish(
     seen = Observation()
     observed = refined.observe(seen, F.collect_set(day_text(F.col(schema.SILVER_PARTITION))).alias("days"))
     write(observed, cfg.silver_path, schema.SILVER_PARTITION)
-    days = set(seen.get["days"])
+    days = _observed_days(seen, refined)
     result = {"raw_rows": raw_rows, "raw_tickers": raw_tickers, "features": len(silver_schema)}
     if not days:
         return RunResult("ok", **result)
@@ -156,6 +157,16 @@ def _publish(
     )
 
 
+def _observed_days(seen: Observation, refined: DataFrame) -> set[str]:
+    try:
+        return set(seen.get["days"])
+    except Py4JJavaError:
+        # Adaptive execution drops the observation together with an empty result.
+        if refined.isEmpty():
+            return set()
+        raise
+
+
 def _month_end(day: dt.date) -> dt.date:
     return (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
 

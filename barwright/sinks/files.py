@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.config import session_conf
@@ -39,6 +39,15 @@ def land_raw(df: DataFrame, path: str, market_tz: str = "UTC") -> None:
     """Land raw bars by calendar day. The day is in the directory name only; ``Date`` stays as it is.
 
     Landing a day again replaces it, under new file names, so that file streams notice it.
+    A marker at the root tells that all files are there.
     """
     day = to_day(F.col("Date"), df.schema["Date"].dataType, market_tz)
     save_partitioned(df.withColumn(RAW_PARTITION, day), path, RAW_PARTITION)
+    mark_complete(df.sparkSession, path)
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """An empty ``_SUCCESS``; a write that replaces partitions one by one does not leave one at the root."""
+    context = spark.sparkContext
+    marker = context._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    marker.getFileSystem(context._jsc.hadoopConfiguration()).create(marker, True).close()

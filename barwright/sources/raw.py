@@ -111,7 +111,16 @@ def group_by_types(files: list[tuple[str, dict[str, str]]]) -> list[list[str]]:
         for column, kind in types.items():
             seen.setdefault(column, set()).add(kind)
     conflicts = sorted(c for c, kinds in seen.items() if len(kinds) > 1)
-    groups: dict[tuple, list[str]] = {}
-    for path, types in sorted(files):
-        groups.setdefault(tuple(types.get(c) for c in conflicts), []).append(path)
-    return list(groups.values())
+    by_types: dict[tuple, list[str]] = {}
+    for path, types in files:
+        by_types.setdefault(tuple(types.get(c) for c in conflicts), []).append(path)
+    # A file without the column fits any type of it; the most definite combinations come first.
+    groups: list[tuple[tuple, list[str]]] = []
+    for kinds, paths in sorted(by_types.items(), key=lambda item: (item[0].count(None), str(item[0]))):
+        for k, (other, members) in enumerate(groups):
+            if all(a == b or None in (a, b) for a, b in zip(kinds, other, strict=True)):
+                groups[k] = (tuple(a or b for a, b in zip(kinds, other, strict=True)), members + paths)
+                break
+        else:
+            groups.append((kinds, paths))
+    return [sorted(paths) for _, paths in groups]
