@@ -35,6 +35,7 @@ from barwright.streaming.refresh import refresh_on_new_files
 AS_OF = dt.date(2001, 6, 30)
 SINCE = dt.date(2001, 1, 1)
 SPLIT_AT = dt.date(1998, 1, 1)
+NEWEST = dt.date(2001, 9, 1)
 LATE_FIRST, LATE_LAST = dt.date(1998, 6, 1), dt.date(1998, 6, 30)
 TICKER = "no4"
 UNIVERSE = ("AF4.SA", "NO4.SA", "RF4.SA")
@@ -105,7 +106,7 @@ def _streamed_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
     bars = dense_bars(spark, sf_dir)
     day = F.col("Date")
     late = day.between(LATE_FIRST, LATE_LAST)
-    for arrival in (~late & (day < SINCE), late, day >= SINCE):
+    for arrival in (~late & (day < NEWEST), late, day >= NEWEST):
         land_raw(bars.where(arrival), raw)
         refresh_on_new_files(spark, cfg, checkpoint).awaitTermination()
     return cfg

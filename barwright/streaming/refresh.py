@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barwright.config import PipelineConfig, RunResult
+from barwright.config import PipelineConfig, RunResult, listing_conf, session_conf
 from barwright.plans.job import run, run_changed
 from barwright.sources.raw import read_bars
 
@@ -46,18 +46,15 @@ def refresh_on_new_files(
         if on_result:
             on_result(batch_id, result)
 
-    files = (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema(_FILE_LISTING)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(cfg.raw_path)
-        .select("path")
-    )
-    return (
-        files.writeStream.foreachBatch(refresh)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    # The query keeps the options it was started with.
+    with session_conf(spark, listing_conf(spark)):
+        files = reader.load(cfg.raw_path).select("path")
+        writer = files.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
+        return writer.trigger(availableNow=True).start()
