@@ -31,6 +31,13 @@ def nanos_to_timestamp(col: Column) -> Column:
     return F.timestamp_micros(F.call_function("div", col - F.pmod(col, thousand), thousand))
 
 
+def parse_timestamp(text: Column) -> Column:
+    """A timestamp from text; text that is not one is an error."""
+    parsed = text.try_cast("timestamp_ntz")
+    bad = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp_ntz")
+    return F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(bad)
+
+
 def day_text(col: Column) -> Column:
     return F.date_format(col, DAY_FORMAT)
 

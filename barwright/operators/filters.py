@@ -44,10 +44,12 @@ def day_before(df: DataFrame, as_of: dt.date, column: str = "Date") -> DataFrame
     return between_days(df, day, day, column)
 
 
-def lookback(df: DataFrame, as_of: dt.date, days: int = LOOKBACK_DAYS, column: str = "Date") -> DataFrame:
-    """The ``days`` days up to and including the day before ``as_of``, plus their start day."""
+def lookback(
+    df: DataFrame, as_of: dt.date, days: int = LOOKBACK_DAYS, column: str = "Date", include_last: bool = True
+) -> DataFrame:
+    """The ``days`` days before the day before ``as_of``, and with ``include_last`` that day too."""
     last = as_of - dt.timedelta(days=1)
-    return between_days(df, last - dt.timedelta(days=days), last, column)
+    return between_days(df, last - dt.timedelta(days=days), last if include_last else last - dt.timedelta(days=1), column)
 
 
 def in_universe(df: DataFrame, tickers: Sequence[str] | DataFrame, column: str = "Ticker") -> DataFrame:

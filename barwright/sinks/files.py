@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.config import session_conf
-from barwright.functions import day_text, to_day
+from barwright.functions import day_text, parse_timestamp, to_day
 from barwright.schema import RAW_PARTITION
 
 
@@ -36,11 +37,15 @@ def save_partitioned(
 
 
 def land_raw(df: DataFrame, path: str, market_tz: str = "UTC") -> None:
-    """Land raw bars by calendar day. The day is in the directory name only; ``Date`` stays as it is.
+    """Land raw bars by calendar day. The day is in the directory name only.
+
+    ``Date`` stays as it is, except that text becomes a timestamp.
 
     Landing a day again replaces it, under new file names, so that file streams notice it.
     A marker at the root tells that all files are there.
     """
+    if isinstance(df.schema["Date"].dataType, T.StringType):
+        df = df.withColumn("Date", parse_timestamp(F.col("Date")))
     day = to_day(F.col("Date"), df.schema["Date"].dataType, market_tz)
     save_partitioned(df.withColumn(RAW_PARTITION, day), path, RAW_PARTITION)
     mark_complete(df.sparkSession, path)

@@ -82,13 +82,12 @@ def read_bars(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
     return bars_of(raw_frames(spark, paths, schema), **how)
 
 
-def footer_types(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[str, dict[str, str]]]:
-    """Path and column types of each raw file; footers are read in tasks, only metadata reaches the driver."""
+def footer_types(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Path and column types of each raw file. The footers are read in tasks."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOB)
     with session_conf(spark, listing_conf(spark)):
         listing = reader.load([paths] if isinstance(paths, str) else list(paths)).select("path")
-    rows = listing.mapInPandas(_read_footers, "path string, types map<string,string>").collect()
-    return [(r["path"], r["types"]) for r in rows]
+    return listing.mapInPandas(_read_footers, "path string, types map<string,string>")
 
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,23 +103,35 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "types": types})
 
 
-def group_by_types(files: list[tuple[str, dict[str, str]]]) -> list[list[str]]:
-    """Partition files so that within a group every column has one type; columns may still differ."""
-    seen: dict[str, set[str]] = {}
-    for _, types in files:
-        for column, kind in types.items():
-            seen.setdefault(column, set()).add(kind)
-    conflicts = sorted(c for c, kinds in seen.items() if len(kinds) > 1)
-    by_types: dict[tuple, list[str]] = {}
-    for path, types in files:
-        by_types.setdefault(tuple(types.get(c) for c in conflicts), []).append(path)
+def group_by_types(files: DataFrame) -> list[list[str]]:
+    """Partition files so that within a group every column has one type; columns may still differ.
+
+    Only the columns with more than one type matter. What is collected is their
+    distinct combinations, and the file names that the reader is given next.
+    """
+    files = files.persist()
+    try:
+        kinds = files.select(F.explode("types").alias("column", "kind")).distinct()
+        conflicts = sorted(r["column"] for r in kinds.groupBy("column").count().where("count > 1").collect())
+        combination = F.array(*[F.col("types")[c] for c in conflicts]).cast("array<string>")
+        keyed = files.select("path", combination.alias("kinds")).withColumn("key", F.xxhash64("kinds"))
+        combinations = {r["key"]: tuple(r["kinds"]) for r in keyed.select("key", "kinds").distinct().collect()}
+        paths = [(r["path"], r["key"]) for r in keyed.select("path", "key").collect()]
+    finally:
+        files.unpersist()
     # A file without the column fits any type of it; the most definite combinations come first.
-    groups: list[tuple[tuple, list[str]]] = []
-    for kinds, paths in sorted(by_types.items(), key=lambda item: (item[0].count(None), str(item[0]))):
-        for k, (other, members) in enumerate(groups):
-            if all(a == b or None in (a, b) for a, b in zip(kinds, other, strict=True)):
-                groups[k] = (tuple(a or b for a, b in zip(kinds, other, strict=True)), members + paths)
-                break
-        else:
-            groups.append((kinds, paths))
-    return [sorted(paths) for _, paths in groups]
+    merged: list[tuple] = []
+    group_of: dict[int, int] = {}
+    for key, kinds in sorted(combinations.items(), key=lambda item: (item[1].count(None), str(item[1]))):
+        fits = (
+            k for k, other in enumerate(merged) if all(a == b or None in (a, b) for a, b in zip(kinds, other))
+        )
+        k = next(fits, len(merged))
+        if k == len(merged):
+            merged.append(kinds)
+        merged[k] = tuple(a or b for a, b in zip(kinds, merged[k]))
+        group_of[key] = k
+    groups: list[list[str]] = [[] for _ in merged]
+    for path, key in sorted(paths):
+        groups[group_of[key]].append(path)
+    return groups

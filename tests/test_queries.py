@@ -3,25 +3,18 @@
 import inspect
 
 import pytest
-from conftest import SF_DIR
 from oracle import connect, differences
 
 import __spark_entry__ as registered
 from barwright.plans import bars, queries
 from barwright.plans.bars import scale_bars, table
-from barwright.sources.tables import read_partitions  # noqa: F401
 
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def duck():
-    return connect(SF_DIR)
-
-
-def plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+def duck(sf_dir):
+    return connect(sf_dir)
 
 
 def test_every_query_has_a_counterpart():
@@ -29,8 +22,8 @@ def test_every_query_has_a_counterpart():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_its_counterpart(spark, duck, name):
-    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
+def test_query_equals_its_counterpart(spark, sf_dir, duck, name):
+    assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
 def test_entry(spark):
@@ -39,25 +32,25 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"silver_hot_ticker", "gold_hot_ticker"}))
-def test_no_cross_join_and_no_python_in_the_plan(spark, name):
-    text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_no_cross_join_and_no_python_in_the_plan(spark, sf_dir, name):
+    text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas", "SortAggregate"):
         assert operator not in text, operator
 
 
-def test_all_windows_share_one_exchange_and_one_sort(spark):
-    text = QUERIES["silver_full"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_all_windows_share_one_exchange_and_one_sort(spark, sf_dir):
+    text = QUERIES["silver_full"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Window [") == 1
     assert text.count("Exchange hashpartitioning(Ticker") == 1
     assert text.count("Exchange") == 2  # bars by day and ticker, windows by ticker
     assert text.count("Sort [") == 1
 
 
-def test_monthly_needs_one_exchange_and_combines_before_it(spark):
+def test_monthly_needs_one_exchange_and_combines_before_it(spark, sf_dir):
     from barwright.operators.gold import monthly
     from barwright.operators.silver import silver
 
-    refined = silver(scale_bars(spark, SF_DIR), one_bar_per_day=True)
+    refined = silver(scale_bars(spark, sf_dir), one_bar_per_day=True)
     extra = monthly(refined)._jdf.queryExecution().executedPlan().toString()
     base = refined._jdf.queryExecution().executedPlan().toString()
     assert extra.count("Exchange") == base.count("Exchange") + 1
@@ -65,31 +58,31 @@ def test_monthly_needs_one_exchange_and_combines_before_it(spark):
 
 
 @pytest.mark.parametrize("name", ["d1_slice", "lookback_180d"])
-def test_day_bounds_reach_the_scan(spark, name):
-    text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_day_bounds_reach_the_scan(spark, sf_dir, name):
+    text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate," in text and "LessThan(l_shipdate," in text
 
 
-def test_only_needed_columns_are_read(spark):
-    text = QUERIES["distinct_dates"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_only_needed_columns_are_read(spark, sf_dir):
+    text = QUERIES["distinct_dates"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in text and "l_extendedprice" not in text
-    assert len(table(spark, SF_DIR, "lineitem").columns) == 11
+    assert len(table(spark, sf_dir, "lineitem").columns) == 11
 
 
-def test_ticker_predicate_goes_below_the_windows(spark):
-    text = QUERIES["q_latest_days"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_ticker_predicate_goes_below_the_windows(spark, sf_dir):
+    text = QUERIES["q_latest_days"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     scan = text[text.index("FileScan") :]
     above = text[: text.index("FileScan")]
     assert "no4" in scan or "no4" in above[above.rindex("Exchange") :]
 
 
-def test_table_queries_prune_partitions(spark):
-    text = QUERIES["table_since_topn"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_table_queries_prune_partitions(spark, sf_dir):
+    text = QUERIES["table_since_topn"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(data_pregao" in text and ">= 2001-01-01" in text
 
 
-def test_top_k_is_not_a_global_sort(spark):
-    text = QUERIES["q_since_topn"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+def test_top_k_is_not_a_global_sort(spark, sf_dir):
+    text = QUERIES["q_since_topn"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in text
 
 

@@ -73,15 +73,19 @@ def test_wide_files_with_different_columns_and_types(spark, folder):
     assert rows(read_bars(spark, f"{folder}/raw")) == rows(spark.createDataFrame(a + b + c, BARS))
 
 
-def test_group_by_types():
+def test_group_by_types(spark):
     files = [
         ("1", {"Date": "d", "V_A": "double"}),
         ("2", {"Date": "d", "V_A": "int64", "V_B": "int64"}),
         ("3", {"Date": "d", "V_B": "int64"}),
         ("4", {"Date": "d", "V_A": "double", "V_C": "int64"}),
     ]
-    assert group_by_types(files) == [["1", "3", "4"], ["2"]]
-    assert group_by_types([f for f in files if f[0] != "2"]) == [["1", "3", "4"]]
+
+    def groups(chosen):
+        return group_by_types(spark.createDataFrame(chosen, "path string, types map<string,string>"))
+
+    assert groups(files) == [["1", "3", "4"], ["2"]]
+    assert groups([f for f in files if f[0] != "2"]) == [["1", "3", "4"]]
 
 
 def test_known_schema_needs_no_footers(spark, folder):
@@ -97,6 +101,15 @@ def test_landing_again_replaces_the_day_only(spark, folder):
     assert rows(read_bars(spark, f"{folder}/raw")) == rows(spark.createDataFrame(expected, BARS))
 
 
+def test_landing_parses_text_dates(spark, folder):
+    text = spark.createDataFrame(series("A", 3), BARS).withColumn("Date", F.concat(F.col("Date"), F.lit(" 10:00:00")))
+    land_raw(text, f"{folder}/raw")
+    assert dict(scan_files(spark, f"{folder}/raw").dtypes)["Date"] == "timestamp_ntz"
+    assert rows(read_bars(spark, f"{folder}/raw")) == rows(spark.createDataFrame(series("A", 3), BARS))
+    with pytest.raises(Exception, match="not a date: soon"):
+        land_raw(text.withColumn("Date", F.lit("soon")), f"{folder}/broken")
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "timestamp", "string"])
 def test_day_filters(spark, kind):
     bars = spark.createDataFrame(series("A", 300), BARS).withColumn("Date", F.col("Date").cast(kind))
@@ -107,6 +120,7 @@ def test_day_filters(spark, kind):
 
     assert days(day_before(bars, as_of)) == [day(249)]
     assert days(lookback(bars, as_of)) == [day(i) for i in range(69, 250)]
+    assert days(lookback(bars, as_of, include_last=False)) == [day(i) for i in range(69, 249)]
     assert days(between_days(bars, None, day(1))) == [day(0), day(1)]
     assert days(between_days(bars, day(299), None)) == [day(299)]
 
