@@ -69,12 +69,12 @@ def run_changed(spark: SparkSession, cfg: PipelineConfig, new: DataFrame) -> Run
     counts = (
         recent.groupBy("Ticker")
         .agg(F.count("*").alias("n_bars"), F.count(F.when(before, 1)).alias("n_before"))
-        .where(F.col("n_bars") > F.col("n_before"))
         .persist()
     )
     try:
-        rows, tickers = counts.agg(F.sum(F.col("n_bars") - F.col("n_before")), F.count("*")).first()
-        bars = _with_history(read, recent, counts, since, cfg.features.depth)
+        affected = counts.where(F.col("n_bars") > F.col("n_before"))
+        rows, tickers = affected.agg(F.sum(F.col("n_bars") - F.col("n_before")), F.count("*")).first()
+        bars = _with_history(read, recent, affected, since, cfg.features.depth)
         fresh = silver(bars, cfg.features, counts=counts).where(F.col("data_pregao") >= since)
         return _publish(spark, cfg, fresh, rows, tickers, since, last)
     finally:
