@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, licenses, token_counts
+from barwright.llm import decontaminate, licenses, packing, quality_rules, sharding, token_counts
 from barwright.llm.common import table
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,7 +37,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
+    "op5_sharding": op5_sharding,
     "op6_decontaminate": op6_decontaminate,
+    "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op10_licenses": op10_licenses,
 }
