@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, licenses, packing, quality_rules, sharding, token_counts
+from barwright.llm import decontaminate, licenses, packing, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
+#: The registered query's key. A real corpus takes a secret one.
+SURROGATE_KEY = "not-a-secret"
+
+
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -37,6 +46,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_surrogates": op1_surrogates,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op6_decontaminate": op6_decontaminate,
