@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, licenses, packing, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import decontaminate, jaccard_join, licenses, packing, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("findings", "expressions")
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_licenses": op10_licenses,
 }
 
