@@ -1,6 +1,6 @@
 """Surrogates for personal data and secrets, with DataFrame functions only.
 
-Entities are found by one regular expression. Card numbers must pass the Luhn check. Each distinct entity (kind, canonical
+Entities are found by one regular expression. Card numbers begin with 2 to 6 and must pass the Luhn check. Each distinct entity (kind, canonical
 form) gets one keyed replacement for the whole corpus: digits for digits, hex for hex, a Luhn-valid number for a card,
 an address below the reserved domain `example` for an e-mail, a name of the same gender and script for a name. The surrogates are
 compared with each other and with all entities found; whoever collides draws again until nothing collides, so different
@@ -37,7 +37,7 @@ PATTERNS = {
     "PHONE": r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
     r"|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
     "SSN": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "CARD": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])",
+    "CARD": r"(?<![\d.-])[2-6](?:[ -]?\d){12,18}(?![\d-])",
     "PERSON": rf"(?=\p{{Lu}}\p{{Ll}})(?<=(?<!\p{{L}})(?:{_FEMALE_TITLES}|{_MALE_TITLES}|Dr|Prof)\.{{0,1}} ){_NAME}(?: {_NAME}){{0,2}}"
     rf"|(?=\p{{Lu}}\p{{Ll}})(?:{_FEMALE}|{_MALE}) {_NAME}",
 }
