@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, jaccard_join, licenses, packing, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import decontaminate, jaccard_join, licenses, packing, quality_net, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(docs, SURROGATE_KEY)
 
 
+def op2_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
+    "op2_quality_net": op2_quality_net,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op6_decontaminate": op6_decontaminate,
