@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, jaccard_join, licenses, packing, quality_net, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import decontaminate, jaccard_join, licenses, masked_lm, packing, quality_net, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_quality_net": op2_quality_net,
+    "op3_masked_lm": op3_masked_lm,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op6_decontaminate": op6_decontaminate,
