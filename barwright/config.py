@@ -23,16 +23,16 @@ class FeatureSpec:
     null_scope: str = "all"
     # "half_even" or "half_away".
     rounding: str = "half_even"
-    # A ticker with more bars than this is cut into pieces instead of being windowed in one task.
-    hot_rows: int = 2_000_000
+    # Pieces that bars are cut into where a ticker may have several a day; None: the session's shuffle partitions.
+    pieces: int | None = None
 
     def __post_init__(self):
         if self.null_scope not in ("all", "features"):
             raise ValueError(f"null_scope: {self.null_scope!r}")
         if self.rounding not in ("half_even", "half_away"):
             raise ValueError(f"rounding: {self.rounding!r}")
-        if self.hot_rows < 1:
-            raise ValueError("hot_rows must be positive")
+        if self.pieces is not None and self.pieces < 1:
+            raise ValueError("pieces must be positive")
 
     @property
     def depth(self) -> int:

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from barwright.schema import DECIMALS
 
 _SCALE = 10**DECIMALS
-# Below this, a two-decimal value times 100 is an exact bigint with room for long sums.
-_EXACT_LIMIT = 1e13
+# Beyond this a value times 100 does not fit a decimal of 38 digits. Prices are further from it than from infinity.
+_DECIMAL_LIMIT = 1e33
 
 
 def round2(x: Column, rounding: str = "half_even") -> Column:
@@ -24,11 +24,11 @@ def round2(x: Column, rounding: str = "half_even") -> Column:
 def mean2(x: Column, rounding: str = "half_even") -> Column:
     """Aggregate: two-decimal mean of values that already have two decimals.
 
-    The sum runs over whole cents, so the result does not depend on the order
-    in which partitions are merged. Groups with NaN, infinite or huge values
+    The sum runs over whole cents of 38 digits, so the result does not depend on the
+    order in which partitions are merged. Groups with NaN or infinite values
     fall back to a plain average.
     """
-    cents = F.when(F.abs(x) < _EXACT_LIMIT, F.rint(x * _SCALE).cast("bigint"))
+    cents = F.when(F.abs(x) < _DECIMAL_LIMIT, F.rint(x * _SCALE).cast("decimal(38,0)"))
     n, n_exact = F.count(x), F.count(cents)
     exact = F.when((n > 0) & (n == n_exact), F.try_sum(cents).cast("double") / n)
     whole = F.rint(exact) if rounding == "half_even" else F.round(exact, 0)

@@ -1,19 +1,15 @@
 """Rolling features of each ticker's bars, also when one ticker holds a large part of all rows.
 
-A bar depends on at most ``depth`` (29) earlier bars of its ticker. Normally one
-exchange by ticker, one sort and one window pass do it. Bars of tickers beyond
-``FeatureSpec.hot_rows`` are cut into contiguous pieces by range instead:
-
-1. identical bars are counted before any row moves to its piece. Of a run of n
-   copies, ``depth + 1`` stay as rows and the last of them stands for the rest,
-   since from there on every copy sees the same window;
-2. a range exchange over the full bar order spreads the rows evenly;
-3. windows inside a piece are right from its ``depth + 1``-th row of a ticker on;
-4. the first and last ``depth`` rows of each piece meet again per ticker, and
-   there the first rows of each piece see what came before them;
-5. counted copies become rows again, spread by a hash exchange.
-
-No group is larger than a piece, or than ``2 * depth`` rows per piece.
+A bar depends on at most ``depth`` (29) earlier bars of its ticker. Where a ticker has one bar a day, one exchange by
+ticker, one sort and one window pass do it. Otherwise a ticker may hold any share of the rows, and all bars are cut into
+contiguous pieces by range over ticker and order:
+
+1. a range exchange over the full bar order, completed by a row number, spreads the rows evenly, copies as well;
+2. windows inside a piece are right from its ``depth + 1``-th row of a ticker on;
+3. where a ticker goes on from earlier pieces, its first ``depth`` rows of a piece get the ``depth`` bars before them as
+   context rows, from as many earlier pieces as it takes, and are windowed again in a group of their own.
+
+No group is larger than a piece or ``2 * depth`` rows. The number of pieces follows the session's shuffle partitions.
 """
 
 from __future__ import annotations
@@ -22,11 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.config import FeatureSpec
+from barwright.plans.scratch import durable
 
 # Ties within a day have no order of their own; this makes results repeatable.
 TIE_BREAK = ("Close", "Open", "High", "Low", "Volume")
-_MAX_LISTED_TICKERS = 1_000
-_COPIES_PER_TASK_ROW = 100_000
 
 
 def rolling_columns(spec: FeatureSpec, partition: list[str], order: list[str]) -> dict:
@@ -43,77 +38,48 @@ def rolling_columns(spec: FeatureSpec, partition: list[str], order: list[str]) -
     return columns
 
 
-def with_rolling(
-    bars: DataFrame, spec: FeatureSpec, one_bar_per_day: bool = False, counts: DataFrame | None = None
-) -> DataFrame:
+def with_rolling(bars: DataFrame, spec: FeatureSpec, one_bar_per_day: bool = False) -> DataFrame:
     """Add the rolling columns to clean bars.
 
     ``one_bar_per_day`` states that (Ticker, Date) is unique, so that a ticker
-    cannot exceed the number of calendar days. Otherwise the bars per ticker
-    are looked at first; ``counts`` gives them if the caller has them already.
+    cannot exceed the number of calendar days.
     """
     if one_bar_per_day:
-        return _by_ticker(bars, spec, ["Date"])
+        return bars.withColumns(rolling_columns(spec, ["Ticker"], ["Date"]))
     order = ["Date", *TIE_BREAK, *[c for c in bars.columns if c not in ("Date", "Ticker", *TIE_BREAK)]]
-    if counts is None:
-        counts = ticker_counts(bars)
-    hot = hot_tickers(counts, spec.hot_rows)
-    if not hot:
-        return _by_ticker(bars, spec, order)
-    if len(hot) > _MAX_LISTED_TICKERS:
-        rows = counts.agg(F.sum("n_bars")).first()[0]
-        return _by_pieces(bars, spec, order, rows)
-    listed = F.col("Ticker").isin(list(hot))
-    cold = _by_ticker(bars.where(~listed), spec, order)
-    return cold.unionByName(_by_pieces(bars.where(listed), spec, order, sum(hot.values())))
+    return _by_pieces(bars, spec, order)
 
 
 def ticker_counts(bars: DataFrame) -> DataFrame:
     return bars.groupBy("Ticker").agg(F.count("*").alias("n_bars"))
 
 
-def hot_tickers(counts: DataFrame, limit: int) -> dict[str, int]:
-    """Tickers with more than ``limit`` bars; at most one more than a predicate may list."""
-    found = counts.where(F.col("n_bars") > limit).limit(_MAX_LISTED_TICKERS + 1)
-    return {r["Ticker"]: r["n_bars"] for r in found.collect()}
-
-
-def _by_ticker(bars: DataFrame, spec: FeatureSpec, order: list[str]) -> DataFrame:
-    return bars.withColumns(rolling_columns(spec, ["Ticker"], order))
-
-
-def _by_pieces(bars: DataFrame, spec: FeatureSpec, order: list[str], rows: int) -> DataFrame:
+def _by_pieces(bars: DataFrame, spec: FeatureSpec, order: list[str]) -> DataFrame:
     depth, columns = spec.depth, bars.columns
-    # 1: count identical bars; the last kept copy carries the weight of those left out.
-    kept = F.least(F.col("_n"), F.lit(depth + 1).cast("bigint"))
-    packed = (
-        bars.groupBy(*columns)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), kept)))
-        .withColumn("_weight", F.when(F.col("_copy") == depth + 1, F.col("_n") - depth).otherwise(F.lit(1)))
-        .drop("_n")
-    )
-    # 2: contiguous pieces of about hot_rows rows each.
-    order = [*order, "_copy"]
-    pieces = packed.repartitionByRange(max(2, -(-rows // spec.hot_rows)), "Ticker", *order).withColumn(
-        "_piece", F.spark_partition_id()
-    )
-    # 3: windows within a piece.
+    n = spec.pieces or int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # 1: contiguous pieces, kept as they are: a range exchange that is computed again may cut elsewhere.
+    order = [*order, "_row"]
+    numbered = bars.withColumn("_row", F.monotonically_increasing_id())
+    pieces = durable(numbered.repartitionByRange(n, "Ticker", *order).withColumn("_piece", F.spark_partition_id()))
+    # 2: windows within a piece.
     names = list(rolling_columns(spec, ["Ticker"], order))
     inner = Window.partitionBy("_piece", "Ticker").orderBy(*order)
-    head = F.lag(F.lit(1), depth).over(inner).isNull()
     tail = F.lead(F.lit(1), depth).over(inner).isNull()
-    within = {f"_in_{c}": e for c, e in rolling_columns(spec, ["_piece", "Ticker"], order).items()}
-    inside = pieces.withColumns({**within, "_head": head, "_edge": head | tail}).withColumn(
-        "_group", F.when(F.col("_edge"), F.lit(-1)).otherwise(F.col("_piece"))
+    within = {**rolling_columns(spec, ["_piece", "Ticker"], order), "_nth": F.row_number().over(inner), "_tail": tail}
+    inside = durable(pieces.withColumns(within))
+    # 3: a ticker's rows before each of its pieces, and which pieces need a tail row as context.
+    earlier = Window.partitionBy("Ticker").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = inside.groupBy("Ticker", "_piece").agg(F.max("_nth").alias("_size"))
+    starts = durable(sizes.select("Ticker", "_piece", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")))
+    going_on = starts.where(F.col("_before") > 0).select(
+        F.col("Ticker").alias("_of"), F.col("_piece").alias("_group"), F.col("_before").alias("_until")
     )
-    # 4: the edges of all pieces of a ticker in one sequence.
-    across = inside.withColumns(rolling_columns(spec, ["Ticker", "_group"], order))
-    chosen = [F.when(F.col("_head"), F.col(c)).otherwise(F.col(f"_in_{c}")).alias(c) for c in names]
-    done = across.select(*columns, *chosen, "_weight", "_copy")
-    # 5: give counted copies their rows back.
-    step = F.lit(_COPIES_PER_TASK_ROW)
-    parts = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("_weight") - 1, step))
-    spread = done.withColumn("_part", F.explode(parts)).repartition("Ticker", "Date", "Close", "_copy", "_part")
-    size = F.least(step, F.col("_weight") - F.col("_part") * step)
-    return spread.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(*columns, *names)
+    tails = inside.where("_tail").join(starts, ["Ticker", "_piece"]).withColumn("_at", F.col("_before") + F.col("_nth"))
+    needed = (F.col("Ticker") == F.col("_of")) & (F.col("_at") <= F.col("_until")) & (F.col("_at") > F.col("_until") - depth)
+    context = tails.join(going_on, needed).select(*columns, "_row", "_group", F.lit(False).alias("_own"))
+    first = inside.where(F.col("_nth") <= depth)
+    continued = (F.col("Ticker") == F.col("_of")) & (F.col("_piece") == F.col("_group"))
+    heads = first.join(going_on, continued).select(*columns, "_row", "_group", F.lit(True).alias("_own"))
+    again = heads.unionByName(context).withColumns(rolling_columns(spec, ["Ticker", "_group"], order)).where("_own")
+    settled = inside.where(F.col("_nth") > depth).unionByName(first.join(going_on, continued, "left_anti"))
+    return settled.select(*columns, *names).unionByName(again.select(*columns, *names))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.schema import RAW_COLUMNS, RAW_KEYS, RAW_PARTITION, RAW_SERIES
 
@@ -43,13 +44,26 @@ def wide_tickers(columns: Iterable[str]) -> list[str]:
     return list(dict.fromkeys(found[1] for found in map(series_of, columns) if found))
 
 
-def wide_to_long(df: DataFrame) -> DataFrame:
+def whole_volume(volume: Column, kind: T.DataType) -> Column:
+    """Volume as bigint. NaN is a value and becomes 0, so that its bar stays; what does not fit raises."""
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return volume.try_cast("bigint")
+    too_large = F.raise_error(F.concat(F.lit("volume beyond bigint: "), volume.cast("string"))).cast("bigint")
+    return (
+        F.when(F.isnan(volume), F.lit(0).cast("bigint"))
+        .when(F.abs(volume) >= float(1 << 63), too_large)
+        .otherwise(volume.cast("bigint"))
+    )
+
+
+def wide_to_long(df: DataFrame, present_only: bool = False) -> DataFrame:
     """One row per date and ticker, in a single pass over the wide rows.
 
     Other columns, also a ``Ticker`` of the wide row, are dropped. Prices become
     double; volume becomes bigint, as integers with gaps may arrive as double.
     If the frame merges wide and long files, it has the plain columns as well
     and each row yields its long bar too (with a null close where it has none).
+    ``present_only`` leaves out bars without a close before they become rows.
     """
     tickers = wide_tickers(df.columns)
     missing = [f"{s}_{t}" for t in tickers for s in RAW_SERIES if f"{s}_{t}" not in df.columns]
@@ -60,18 +74,21 @@ def wide_to_long(df: DataFrame) -> DataFrame:
         # Names contain dots (Close_ITUB4.SA) and need quoting.
         quoted = {s: F.col("`" + f"{s}{suffix}".replace("`", "``") + "`") for s in RAW_SERIES}
         prices = [quoted[s].cast("double").alias(s) for s in ("Open", "High", "Low", "Close")]
-        volume = quoted["Volume"].try_cast("bigint").alias("Volume")
+        volume = whole_volume(quoted["Volume"], df.schema[f"Volume{suffix}"].dataType).alias("Volume")
         return F.struct(ticker.cast("string").alias("Ticker"), *prices, volume)
 
     bars = [bar(F.lit(t), f"_{t}") for t in tickers]
     if set(RAW_COLUMNS) <= set(df.columns):
         bars.append(bar(F.col("Ticker"), ""))
-    return df.select("Date", F.inline(F.array(*bars)))
+    rows = F.array(*bars)
+    if present_only:
+        rows = F.filter(rows, lambda bar: bar["Close"].isNotNull())
+    return df.select("Date", F.inline(rows))
 
 
-def to_long(df: DataFrame) -> DataFrame:
+def to_long(df: DataFrame, present_only: bool = False) -> DataFrame:
     """Wide frames become long, long frames stay as they are."""
-    return wide_to_long(df) if is_wide(df.columns) else df
+    return wide_to_long(df, present_only) if is_wide(df.columns) else df
 
 
 def long_to_wide(df: DataFrame, tickers: Sequence[str]) -> DataFrame:

@@ -47,10 +47,9 @@ def features(
     bars: DataFrame,
     spec: FeatureSpec = FeatureSpec(),
     one_bar_per_day: bool = False,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Refined columns of every bar, unrounded, with nulls where a window is not full yet."""
-    return _named(with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day, counts), spec)
+    return _named(with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day), spec)
 
 
 def _named(rolled: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -67,14 +66,13 @@ def silver(
     bars: DataFrame,
     spec: FeatureSpec = FeatureSpec(),
     one_bar_per_day: bool = False,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Clean bars to the refined table.
 
     Rows without a full longest window are dropped, so the first 29 bars of
     each ticker do not appear.
     """
-    rolled = with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day, counts)
+    rolled = with_rolling(narrow_bars(bars, spec), spec, one_bar_per_day)
     # The other refined columns are null exactly where one of these is.
     complete = no_nulls(rolled, [c for c in rolled.columns if c != _COMPLETE])
     if _COMPLETE in rolled.columns:

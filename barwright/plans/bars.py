@@ -25,33 +25,38 @@ def supplier_ticker() -> Column:
     return F.concat(F.lit("SUP"), F.col("l_suppkey").cast("string"), F.lit(".SA"))
 
 
-# More than any line item's price.
-_PRICE_LIMIT = 1 << 20
+# Order key and price share a decimal of 38 digits: key * 2^64 + price + 2^63, for any whole price of 64 bits.
+_SPAN = "decimal(20,0)"
 
 
 def daily_bars(lines: DataFrame, ticker: Column) -> DataFrame:
     """One bar per ticker and day: first, highest, lowest and last price and the quantity.
 
     The first price is the lowest one in the day's first order, the last price
-    the highest one in its last order. Order and price share one bigint, so all
+    the highest one in its last order. Order and price share one number, so all
     buffers are plain numbers and are combined by hash before the exchange.
     """
     price = F.floor("l_extendedprice")
-    checked = F.when(price < _PRICE_LIMIT, price).otherwise(F.raise_error(F.lit("price beyond limit")))
+    span, half = F.lit(str(1 << 64)).cast(_SPAN), F.lit(str(1 << 63)).cast(_SPAN)
+    moment = (F.col("l_orderkey").cast("decimal(18,0)") * span + price.cast(_SPAN) + half).cast("decimal(38,0)")
+
+    def price_of(found: Column) -> Column:
+        return (F.pmod(found, span.cast("decimal(38,0)")) - half).cast("double")
+
     return (
         lines.select(
             F.col("l_shipdate").cast("date").alias("Date"),
             ticker.alias("Ticker"),
             price.alias("price"),
-            (F.col("l_orderkey") * _PRICE_LIMIT + checked).alias("moment"),
+            moment.alias("moment"),
             "l_quantity",
         )
         .groupBy("Date", "Ticker")
         .agg(
-            F.pmod(F.min("moment"), F.lit(_PRICE_LIMIT)).cast("double").alias("Open"),
+            price_of(F.min("moment")).alias("Open"),
             F.max("price").cast("double").alias("High"),
             F.min("price").cast("double").alias("Low"),
-            F.pmod(F.max("moment"), F.lit(_PRICE_LIMIT)).cast("double").alias("Close"),
+            price_of(F.max("moment")).alias("Close"),
             F.sum("l_quantity").cast("bigint").alias("Volume"),
         )
         .select(*RAW_COLUMNS)

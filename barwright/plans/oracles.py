@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barwright.plans.queries import AS_OF, SINCE, TICKER, UNIVERSE
+from barwright.plans.queries import AS_OF, NEWEST, SINCE, TICKER, UNIVERSE
 
 LINE_TICKER = "concat(l_returnflag, l_linestatus, '4.SA')"
 SUPPLIER_TICKER = "concat('SUP', cast(l_suppkey AS varchar), '.SA')"
@@ -185,6 +185,22 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'monthly', count(*), count(DISTINCT nome_acao), 10 FROM gold""",
     "dry_run_counts": f"""WITH {DENSE}
       SELECT count(*) AS n_rows, count(DISTINCT "Ticker") AS n_tickers, true AS dry_run FROM bars""",
+    "table_recreated": f"WITH {DENSE}, {SILVER} SELECT {_SILVER_TEXT_DAY} FROM silver",
+    "table_dropped": f"WITH {DENSE}, {GOLD} SELECT false AS has_entry, count(*) AS n_rows FROM gold",
+    "partitions_added": f"""WITH {DENSE}, {SILVER} SELECT {_SILVER_TEXT_DAY} FROM silver
+      WHERE data_pregao >= DATE '{NEWEST}'""",
+    "catalog_failure": f"""WITH {DENSE}, {SILVER}
+      SELECT 'ok' AS status, false AS catalog_ok, count(*) AS n_rows FROM silver""",
+    "landing_marker": f"WITH {DENSE} SELECT count(*) AS n_rows, true AS complete FROM bars",
+    "empty_batch": f"WITH {DENSE} SELECT count(*) AS n_raw, 'no_data' AS status, false AS written FROM bars",
+    "flattened_header": _wide(),
+    "parsed_timestamps": "SELECT cast(l_shipdate AS date) AS day, count(*) AS n_rows FROM lineitem GROUP BY 1",
+    "plain_layout": _ALL_DENSE,
+    "tied_newest": f"""WITH {_bars(LINE_TICKER, "single")}, bars AS (
+      SELECT * FROM single UNION ALL SELECT * FROM single
+      UNION ALL SELECT * REPLACE (replace("Ticker", '.SA', '') AS "Ticker", "Volume" + 1 AS "Volume") FROM single), {SILVER}
+      SELECT data_pregao, nome_acao, fechamento, media_movel_7d FROM silver WHERE data_pregao >= DATE '{SINCE}'
+      ORDER BY data_pregao DESC, data_pregao, nome_acao, fechamento, media_movel_7d LIMIT 25""",
     "stream_equals_batch": f"WITH {DENSE}, {SILVER} SELECT {_SILVER_TEXT_DAY} FROM silver",
     "stream_gold_equals_batch": f"WITH {DENSE}, {GOLD} SELECT {_GOLD_TEXT_MONTH} FROM gold",
 }

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright import schema
-from barwright.config import FeatureSpec, PipelineConfig
-from barwright.functions import day_text, month_start, normalize_ticker, pct_change, round2
+from barwright.config import PipelineConfig
+from barwright.functions import day_text, month_start, normalize_ticker, parse_timestamp, pct_change, round2
 from barwright.operators import filters, shape
 from barwright.operators.clean import clean_bars
 from barwright.operators.gold import monthly
@@ -28,7 +29,8 @@ from barwright.plans.bars import (
 from barwright.plans.job import run
 from barwright.plans.scratch import new_folder
 from barwright.sinks import catalog
-from barwright.sinks.files import land_raw, save_partitioned
+from barwright.sinks.files import is_complete, land_raw, save_partitioned
+from barwright.sources.folders import modified, stored_keys
 from barwright.sources.raw import read_bars, scan_files
 from barwright.streaming.refresh import refresh_on_new_files
 
@@ -39,15 +41,16 @@ NEWEST = dt.date(2001, 9, 1)
 LATE_FIRST, LATE_LAST = dt.date(1998, 6, 1), dt.date(1998, 6, 30)
 TICKER = "no4"
 UNIVERSE = ("AF4.SA", "NO4.SA", "RF4.SA")
-# Small on purpose, so that the whole table goes through the path for oversized tickers.
-HOT_ROWS = 2_000
+# Days on which a ticker that the tables do not have is landed, and withdrawn later.
+GHOST_FIRST, GHOST_LAST = dt.date(1996, 2, 1), dt.date(1996, 4, 15)
+GHOST_ALONE = dt.date(1990, 1, 1)
 
 _done: dict[tuple, object] = {}
 
 
 def _once(make: Callable, spark: SparkSession, sf_dir: str):
-    """What ``make`` wrote for this application and input, written on first use."""
-    key = (make.__name__, spark.sparkContext.applicationId, sf_dir)
+    """What ``make`` wrote for this application and state of the input, written on first use."""
+    key = (make.__name__, spark.sparkContext.applicationId, sf_dir, modified(spark, f"{sf_dir}/lineitem.parquet"))
     if key not in _done:
         _done[key] = make(spark, sf_dir)
     return _done[key]
@@ -73,9 +76,13 @@ def _wide_landing(spark: SparkSession, sf_dir: str) -> str:
     older = filters.between_days(bars, None, SPLIT_AT - dt.timedelta(days=1))
     newer = filters.between_days(bars, SPLIT_AT, None)
     wide = shape.long_to_wide(older.withColumn("Volume", F.col("Volume").cast("double")), tickers)
-    land_raw(wide, path)
-    land_raw(shape.long_to_wide(newer, tickers[:-1]), path)
-    land_raw(shape.long_to_wide(newer.where(F.col("Ticker") == tickers[-1]), tickers[-1:]), path + "/more")
+    # As other producers write: with the types that the frames have. Own landings have one type per column.
+    for part, place in (
+        (wide, path + "/older"),
+        (shape.long_to_wide(newer, tickers[:-1]), path + "/newer"),
+        (shape.long_to_wide(newer.where(F.col("Ticker") == tickers[-1]), tickers[-1:]), path + "/more"),
+    ):
+        save_partitioned(part.withColumn(schema.RAW_PARTITION, F.col("Date")), place, schema.RAW_PARTITION)
     return path
 
 
@@ -100,14 +107,20 @@ def _lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
 
 
 def _streamed_lake(spark: SparkSession, sf_dir: str) -> PipelineConfig:
-    """Three arrivals of raw files: history with a gap, the missing month (late), the newest days."""
+    """Arrivals of raw files: history with a gap and with bars that should not be there; the missing month (late); the newest
+    days; the days of the wrong bars again, once without them, once with their closes withdrawn."""
     raw, checkpoint = new_folder(spark, "raw"), new_folder(spark, "stream")
     cfg = _config(spark, raw)
     bars = dense_bars(spark, sf_dir)
     day = F.col("Date")
     late = day.between(LATE_FIRST, LATE_LAST)
-    for arrival in (~late & (day < NEWEST), late, day >= NEWEST):
-        land_raw(bars.where(arrival), raw)
+    wrong_days = day.between(GHOST_FIRST, GHOST_LAST)
+    ghost = bars.where(wrong_days).withColumn("Ticker", F.lit("ZZ9.SA")).dropDuplicates(["Date"])
+    alone = ghost.where(day == GHOST_FIRST).withColumn("Date", F.lit(GHOST_ALONE))
+    history = bars.where(~late & (day < NEWEST)).unionByName(ghost).unionByName(alone)
+    withdrawn = alone.withColumn("Close", F.lit(None).cast("double"))
+    for arrival in (history, bars.where(late), bars.where(day >= NEWEST), bars.where(wrong_days), withdrawn):
+        land_raw(arrival, raw)
         refresh_on_new_files(spark, cfg, checkpoint).awaitTermination()
     return cfg
 
@@ -194,8 +207,8 @@ def silver_round(spark, sf_dir):
 
 
 def silver_hot_ticker(spark, sf_dir):
-    """Refined rows of single trades: tickers beyond the limit, days with many bars, copies."""
-    return silver(trade_bars(spark, sf_dir), FeatureSpec(hot_rows=HOT_ROWS))
+    """Refined rows of single trades: a few tickers hold all rows, days have many bars, bars have copies."""
+    return silver(trade_bars(spark, sf_dir))
 
 
 def gold_hot_ticker(spark, sf_dir):
@@ -226,14 +239,21 @@ def union_by_name(spark, sf_dir):
 
 
 def tag_and_combine(spark, sf_dir):
-    """Per-instrument frames without a ticker, tagged and combined."""
-    bars = dense_bars(spark, sf_dir)
+    """Per-instrument frames without a ticker, tagged and combined; the bars are aggregated once and written."""
+    bars = spark.read.parquet(_written_bars(spark, sf_dir))
     frames = [
         shape.tag_ticker(bars.where(F.col("Ticker") == t).drop("Ticker"), t) for t in _dense_tickers(spark, sf_dir)
     ]
     return shape.combine(frames).select(*schema.RAW_COLUMNS)
 
 
+def _written_bars(spark: SparkSession, sf_dir: str) -> str:
+    """Dense bars in one folder per ticker, so that a ticker's frame reads its own files."""
+    path = new_folder(spark, "bars")
+    dense_bars(spark, sf_dir).write.partitionBy("Ticker").parquet(path)
+    return path
+
+
 def distinct_dates(spark, sf_dir):
     return serve.distinct_days(dense_bars(spark, sf_dir), "Date")
 
@@ -354,6 +374,90 @@ def dry_run_counts(spark, sf_dir):
     return spark.createDataFrame([row], "n_rows bigint, n_tickers bigint, dry_run boolean")
 
 
+def table_recreated(spark, sf_dir):
+    """An external table with other columns becomes the refined one."""
+    cfg = _once(_lake, spark, sf_dir)
+    name = f"{cfg.database}.{cfg.silver_table}_again"
+    catalog.create_table(spark, name, schema.GOLD_SCHEMA, schema.GOLD_PARTITION, cfg.gold_path)
+    catalog.publish(spark, name, schema.SILVER_SCHEMA, schema.SILVER_PARTITION, cfg.silver_path, [])
+    return spark.table(name)
+
+
+def table_dropped(spark, sf_dir):
+    """What is left after a table was dropped: no entry, all rows."""
+    cfg = _once(_lake, spark, sf_dir)
+    name = f"{cfg.database}.{cfg.gold_table}_dropped"
+    catalog.publish(spark, name, schema.GOLD_SCHEMA, schema.GOLD_PARTITION, cfg.gold_path, [])
+    catalog.drop_table(spark, name)
+    rows = spark.read.parquet(cfg.gold_path).agg(F.count("*").alias("n_rows"))
+    return rows.select(F.lit(spark.catalog.tableExists(name)).alias("has_entry"), "n_rows")
+
+
+def partitions_added(spark, sf_dir):
+    """A table that knows only the partitions it was told of."""
+    cfg = _once(_lake, spark, sf_dir)
+    name = f"{cfg.database}.{cfg.silver_table}_newest"
+    keys = {k for k in stored_keys(spark, cfg.silver_path, schema.SILVER_PARTITION) if k >= NEWEST.isoformat()}
+    catalog.create_table(spark, name, schema.SILVER_SCHEMA, schema.SILVER_PARTITION, cfg.silver_path)
+    catalog.add_partitions(spark, name, schema.SILVER_PARTITION, keys)
+    return spark.table(name)
+
+
+def catalog_failure(spark, sf_dir):
+    """A catalog that fails leaves the written data and says so."""
+    cfg = replace(_config(spark, _once(_landing, spark, sf_dir)), database="no_such_database")
+    result = run(spark, cfg)
+    rows = spark.read.parquet(cfg.silver_path).agg(F.count("*").alias("n_rows"))
+    return rows.select(F.lit(result.status).alias("status"), F.lit(result.catalog_ok).alias("catalog_ok"), "n_rows")
+
+
+def landing_marker(spark, sf_dir):
+    """The completion marker of a landing, and the rows it stands for."""
+    path = _once(_landing, spark, sf_dir)
+    return scan_files(spark, path).agg(F.count("*").alias("n_rows"), F.lit(is_complete(spark, path)).alias("complete"))
+
+
+def empty_batch(spark, sf_dir):
+    """A run that finds no bars writes nothing."""
+    cfg = replace(_config(spark, _once(_landing, spark, sf_dir)), universe=("NOBODY.SA",))
+    result = run(spark, cfg)
+    written = bool(stored_keys(spark, cfg.silver_path, schema.SILVER_PARTITION))
+    raw = read_bars(spark, cfg.raw_path).agg(F.count("*").alias("n_raw"))
+    return raw.select("n_raw", F.lit(result.status).alias("status"), F.lit(written).alias("written"))
+
+
+def flattened_header(spark, sf_dir):
+    """Columns under a two-level header, as (series, ticker), named after both."""
+    bars = dense_bars(spark, sf_dir).withColumn("Ticker", normalize_ticker(F.col("Ticker")))
+    tickers = [t.removesuffix(".SA").lower() for t in _dense_tickers(spark, sf_dir)]
+    wide = shape.long_to_wide(bars, tickers)
+    header = [("Date", ""), *[(s, t) for t in tickers for s in schema.RAW_SERIES]]
+    return shape.flatten_header(wide, header)
+
+
+def parsed_timestamps(spark, sf_dir):
+    """Text dates and times of the line items as timestamps, counted by day."""
+    lines = table(spark, sf_dir, "lineitem")
+    text = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
+    day = parse_timestamp(F.when(F.col("l_linenumber") % 2 == 0, text).otherwise(F.substring(text, 1, 10)))
+    return lines.select(day.cast("date").alias("day")).groupBy("day").agg(F.count("*").alias("n_rows"))
+
+
+def plain_layout(spark, sf_dir):
+    """Bars landed under plain day folders and read back."""
+    path = new_folder(spark, "plain")
+    land_raw(dense_bars(spark, sf_dir), path, plain=True)
+    return read_bars(spark, path).select(*schema.RAW_COLUMNS)
+
+
+def tied_newest(spark, sf_dir):
+    """The newest rows where tickers share a name and bars are repeated: ties are broken by every column."""
+    bars = dense_bars(spark, sf_dir)
+    alike = bars.withColumn("Ticker", F.regexp_replace("Ticker", r"\.SA$", "")).withColumn("Volume", F.col("Volume") + 1)
+    refined = silver(bars.unionByName(alike).unionByName(bars))
+    return serve.newest_since(refined, SINCE, 25)
+
+
 def stream_equals_batch(spark, sf_dir):
     return _silver_table(spark, _once(_streamed_lake, spark, sf_dir))
 
@@ -412,6 +516,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_overwrite": partition_overwrite,
     "run_stats": run_stats,
     "dry_run_counts": dry_run_counts,
+    "table_recreated": table_recreated,
+    "table_dropped": table_dropped,
+    "partitions_added": partitions_added,
+    "catalog_failure": catalog_failure,
+    "landing_marker": landing_marker,
+    "empty_batch": empty_batch,
+    "flattened_header": flattened_header,
+    "parsed_timestamps": parsed_timestamps,
+    "plain_layout": plain_layout,
+    "tied_newest": tied_newest,
     "stream_equals_batch": stream_equals_batch,
     "stream_gold_equals_batch": stream_gold_equals_batch,
 }

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share, as named by the session; local sessions may go without."""
+    """The folder all executors share: spark.checkpoint.dir, or one below the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="barwright-")
+    return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
+
+
+def durable(frame: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the shared folder, so that it stays the same and outlives its executors."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(frame.sparkSession))
+    return frame.checkpoint()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

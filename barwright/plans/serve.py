@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from barwright.sources.tables import day_bound
 
 
+def _newest(df: DataFrame, *first) -> list:
+    """The given order, made total by all columns of the frame: what ties is alike in every column."""
+    return [*first, *[F.col(f"`{c}`") for c in df.columns]]
+
+
 def latest_days(silver: DataFrame, ticker: str, as_of: dt.date, days: int = 10) -> DataFrame:
     """A ticker's closes, weekly mean and volatility since ``days`` before ``as_of``, newest first."""
     since = day_bound(silver, "data_pregao", as_of - dt.timedelta(days=days))
-    return (
-        silver.where((F.col("nome_acao") == ticker) & (F.col("data_pregao") >= since))
-        .select("data_pregao", "nome_acao", "fechamento", "media_movel_7d", "volatilidade_7d")
-        .orderBy(F.desc("data_pregao"))
+    rows = silver.where((F.col("nome_acao") == ticker) & (F.col("data_pregao") >= since)).select(
+        "data_pregao", "nome_acao", "fechamento", "media_movel_7d", "volatilidade_7d"
     )
+    return rows.orderBy(*_newest(rows, F.desc("data_pregao")))
 
 
 def monthly_report(gold: DataFrame) -> DataFrame:
@@ -28,20 +32,17 @@ def monthly_report(gold: DataFrame) -> DataFrame:
 
 def newest_since(silver: DataFrame, since: dt.date, n: int = 10) -> DataFrame:
     """The ``n`` newest rows from ``since`` on."""
-    return (
-        silver.where(F.col("data_pregao") >= day_bound(silver, "data_pregao", since))
-        .select("data_pregao", "nome_acao", "fechamento", "media_movel_7d")
-        .orderBy(F.desc("data_pregao"), "nome_acao")
-        .limit(n)
+    rows = silver.where(F.col("data_pregao") >= day_bound(silver, "data_pregao", since)).select(
+        "data_pregao", "nome_acao", "fechamento", "media_movel_7d"
     )
+    return rows.orderBy(*_newest(rows, F.desc("data_pregao"))).limit(n)
 
 
 def ticker_since(silver: DataFrame, ticker: str, since: dt.date, n: int = 10) -> DataFrame:
     """The first ``n`` full rows of a ticker from ``since`` on."""
     day = day_bound(silver, "data_pregao", since)
-    return (
-        silver.where((F.col("nome_acao") == ticker) & (F.col("data_pregao") >= day)).orderBy("data_pregao").limit(n)
-    )
+    rows = silver.where((F.col("nome_acao") == ticker) & (F.col("data_pregao") >= day))
+    return rows.orderBy(*_newest(rows, F.col("data_pregao"))).limit(n)
 
 
 def distinct_days(df: DataFrame, column: str) -> DataFrame:

@@ -6,13 +6,21 @@ from pyspark.sql import types as T
 RAW_KEYS = ("Date", "Ticker")
 RAW_SERIES = ("Close", "Open", "High", "Low", "Volume")
 RAW_COLUMNS = ("Date", "Ticker", "Open", "High", "Low", "Close", "Volume")
+BAR_TYPES = {
+    "Date": "date",
+    "Ticker": "string",
+    "Open": "double",
+    "High": "double",
+    "Low": "double",
+    "Close": "double",
+    "Volume": "bigint",
+}
 RAW_PARTITION = "data_particao"
 SILVER_TABLE = "refined_stocks"
 SILVER_PARTITION = "data_pregao"
 GOLD_TABLE = "aggregated_stocks_monthly"
 GOLD_PARTITION = "mes_referencia"
 DATABASE = "default"
-DEFAULT_UNIVERSE = ("ITUB4.SA", "BBDC4.SA", "BBAS3.SA")
 TICKER_SUFFIX_PATTERN = ".SA"
 MEAN_WINDOWS = (7, 14, 30)
 STD_WINDOW = 7

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Collection
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwright.sources.tables import as_stored
@@ -30,25 +31,32 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, partition
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Forget an external table; its files stay."""
+    """Forget an external table; its files stay. A managed table owns its files and is never dropped."""
+    if spark.catalog.tableExists(name) and _described(spark, name, "Type").upper() != "EXTERNAL":
+        raise ValueError(f"{name} is not an external table: dropping it would delete its data")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _described(spark: SparkSession, name: str, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == what).collect()
+    return rows[-1]["data_type"] if rows else ""
+
+
 def location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else ""
+    return _described(spark, name, "Location")
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: str, path: str) -> None:
-    """Create the table, or recreate it if its columns or its location differ."""
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: str, path: str) -> bool:
+    """Create the table, or recreate it if its columns or its location differ; tells whether it did."""
     if spark.catalog.tableExists(name):
         actual = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
         wanted = [(f.name, f.dataType) for f in as_stored(schema, partition).fields]
         same_place = _plain(location(spark, name)) == _plain(path)
         if actual == wanted and same_place:
-            return
+            return False
         drop_table(spark, name)
     create_table(spark, name, schema, partition, path)
+    return True
 
 
 def _plain(path: str) -> str:
@@ -67,15 +75,35 @@ def add_partitions(spark: SparkSession, name: str, partition: str, keys: Collect
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
 
 
+def drop_partitions(spark: SparkSession, name: str, partition: str, keys: Collection[str]) -> None:
+    if keys:
+        parts = ", ".join(f"PARTITION (`{partition}`='{key}')" for key in sorted(keys))
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
 def list_partitions(spark: SparkSession, name: str):
     return spark.sql(f"SHOW PARTITIONS {name}")
 
 
 def publish(
-    spark: SparkSession, name: str, schema: T.StructType, partition: str, path: str, keys: Collection[str]
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    partition: str,
+    path: str,
+    keys: Collection[str],
+    removed: Collection[str] = (),
+    discover: bool = True,
 ) -> None:
-    """Make a written table queryable: entry, partitions by discovery, else those of this run."""
-    ensure_table(spark, name, schema, partition, path)
+    """Make a written table queryable: entry, partitions by discovery, else those of this run.
+
+    Without ``discover`` an existing entry only learns this run's partitions, whose number the caller knows."""
+    created = ensure_table(spark, name, schema, partition, path)
+    if not (discover or created):
+        drop_partitions(spark, name, partition, removed)
+        add_partitions(spark, name, partition, keys)
+        spark.catalog.refreshTable(name)
+        return
     try:
         repair(spark, name)
     except Exception as error:

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwright.config import session_conf
 from barwright.functions import day_text, parse_timestamp, to_day
-from barwright.schema import RAW_PARTITION
+from barwright.operators.shape import series_of, whole_volume
+from barwright.schema import RAW_PARTITION, RAW_SERIES
+from barwright.sources.folders import delete, exists, rename, stored_keys, write_text
+
+MARKER = "_SUCCESS"
 
 
 # Many small day files cost by number, not by bytes, so adaptive execution may keep small tasks apart here.
@@ -36,23 +42,47 @@ def save_partitioned(
         writer.parquet(path)
 
 
-def land_raw(df: DataFrame, path: str, market_tz: str = "UTC") -> None:
-    """Land raw bars by calendar day. The day is in the directory name only.
+def _canonical(df: DataFrame) -> DataFrame:
+    """Prices as double and volumes as bigint, in long and wide frames: landings never disagree on a type."""
+
+    def typed(field: T.StructField):
+        series = (series_of(field.name) or (field.name,))[0]
+        column = F.col(f"`{field.name}`")
+        if series == "Volume":
+            return whole_volume(column, field.dataType).alias(field.name)
+        return column.cast("double").alias(field.name) if series in RAW_SERIES else column
+
+    return df.select(*[typed(f) for f in df.schema.fields])
 
-    ``Date`` stays as it is, except that text becomes a timestamp.
+
+def land_raw(df: DataFrame, path: str, market_tz: str = "UTC", plain: bool = False) -> None:
+    """Land raw bars by calendar day. The day is in the directory name only; ``plain`` names it without a key.
+
+    ``Date`` stays as it is, except that text becomes a timestamp. Prices and volumes get one type each.
 
     Landing a day again replaces it, under new file names, so that file streams notice it.
-    A marker at the root tells that all files are there.
+    A marker at the root tells that all files are there; it is away while files arrive.
     """
+    delete(df.sparkSession, f"{path.rstrip('/')}/{MARKER}")
     if isinstance(df.schema["Date"].dataType, T.StringType):
         df = df.withColumn("Date", parse_timestamp(F.col("Date")))
     day = to_day(F.col("Date"), df.schema["Date"].dataType, market_tz)
-    save_partitioned(df.withColumn(RAW_PARTITION, day), path, RAW_PARTITION)
+    keyed = _canonical(df).withColumn(RAW_PARTITION, day)
+    if plain:
+        staged = f"{path.rstrip('/')}/_landing-{uuid.uuid4().hex[:12]}"
+        save_partitioned(keyed, staged, RAW_PARTITION)
+        for key in sorted(stored_keys(df.sparkSession, staged, RAW_PARTITION)):
+            rename(df.sparkSession, f"{staged}/{RAW_PARTITION}={key}", f"{path.rstrip('/')}/{key}")
+        delete(df.sparkSession, staged)
+    else:
+        save_partitioned(keyed, path, RAW_PARTITION)
     mark_complete(df.sparkSession, path)
 
 
 def mark_complete(spark: SparkSession, path: str) -> None:
     """An empty ``_SUCCESS``; a write that replaces partitions one by one does not leave one at the root."""
-    context = spark.sparkContext
-    marker = context._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    marker.getFileSystem(context._jsc.hadoopConfiguration()).create(marker, True).close()
+    write_text(spark, f"{path.rstrip('/')}/{MARKER}", "")
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path.rstrip('/')}/{MARKER}")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
@@ -13,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwright.config import listing_conf, session_conf
-from barwright.functions import nanos_to_timestamp
+from barwright.functions import nanos_to_timestamp, to_day
 from barwright.operators.clean import clean_bars
 from barwright.operators.filters import between_days, in_universe
 from barwright.operators.shape import combine, is_wide
-from barwright.schema import RAW_COLUMNS
+from barwright.schema import RAW_COLUMNS, RAW_PARTITION
 
 _GLOB = "*.parquet"
 
@@ -59,6 +61,28 @@ def raw_frames(
     return [scan_files(spark, group) for group in group_by_types(footer_types(spark, paths))]
 
 
+@dataclass(frozen=True)
+class RawColumns:
+    """What the columns of raw files mean for every row: wide or not, and columns beside the bars'."""
+
+    wide: bool = False
+    extras: frozenset[str] = frozenset()
+
+    def text(self) -> str:
+        return json.dumps({"wide": self.wide, "extras": sorted(self.extras)})
+
+    @staticmethod
+    def parse(text: str) -> RawColumns:
+        found = json.loads(text)
+        return RawColumns(found["wide"], frozenset(found["extras"]))
+
+
+def columns_of(frames: Sequence[DataFrame]) -> RawColumns:
+    names = {c for df in frames for c in df.columns}
+    wide = any(is_wide(df.columns) for df in frames)
+    return RawColumns(wide, frozenset() if wide else frozenset(names - {*RAW_COLUMNS, RAW_PARTITION}))
+
+
 def bars_of(
     frames: Sequence[DataFrame],
     market_tz: str = "UTC",
@@ -82,6 +106,17 @@ def read_bars(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
     return bars_of(raw_frames(spark, paths, schema), **how)
 
 
+def touched_days(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None, market_tz: str = "UTC"
+) -> set[dt.date]:
+    """Days of all rows of the files, whether or not their bars count."""
+    out: set[dt.date] = set()
+    for df in raw_frames(spark, paths, schema):
+        day = to_day(F.col("Date"), df.schema["Date"].dataType, market_tz)
+        out |= {r[0] for r in df.select(day.alias("d")).distinct().where("d is not null").collect()}
+    return out
+
+
 def footer_types(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Path and column types of each raw file. The footers are read in tasks."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOB)

@@ -39,6 +39,16 @@ def read_partitions(
     return df.withColumn(partition, F.col(partition).cast("date")).select(*schema.fieldNames())
 
 
+def read_folders(
+    spark: SparkSession, path: str, schema: T.StructType, partition: str, keys: Collection[str]
+) -> DataFrame:
+    """The given partitions of a written table, without a listing of the others."""
+    root = path.rstrip("/")
+    df = spark.read.schema(as_stored(schema, partition)).option("basePath", root)
+    df = df.parquet(*[f"{root}/{partition}={key}" for key in sorted(keys)])
+    return df.withColumn(partition, F.col(partition).cast("date")).select(*schema.fieldNames())
+
+
 def day_bound(df: DataFrame, column: str, day: dt.date) -> Column:
     """``day`` as a literal of the column's type, so that a text partition key is pruned without a cast."""
     text = isinstance(df.schema[column].dataType, T.StringType)

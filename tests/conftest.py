@@ -1,10 +1,8 @@
 import datetime as dt
-import glob
 import os
 import sys
 import tempfile
 
-import duckdb
 import pytest
 from pyspark.sql import SparkSession
 
@@ -35,19 +33,9 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def sf_dir(tmp_path_factory):
-    """The given tables, with fewer days of line items: each day is a directory in many queries.
-
-    TEST_SF_DIR names tables to use as they are.
-    """
-    if "TEST_SF_DIR" in os.environ:
-        return os.environ["TEST_SF_DIR"]
-    copy = str(tmp_path_factory.mktemp("tables"))
-    for path in glob.glob(f"{TABLES}/*.parquet"):
-        days = "l_shipdate BETWEEN '1997-12-01' AND '1998-07-31' OR l_shipdate >= '2001-05-01'"
-        condition = days if path.endswith("lineitem.parquet") else "true"
-        duckdb.sql(f"COPY (SELECT * FROM '{path}' WHERE {condition}) TO '{copy}/{os.path.basename(path)}'")
-    return copy
+def sf_dir():
+    """The given small tables, whole. TEST_SF_DIR names others."""
+    return os.environ.get("TEST_SF_DIR", TABLES)
 
 
 @pytest.fixture

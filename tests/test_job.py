@@ -88,7 +88,7 @@ def test_too_short_history(spark, folder):
 def test_universe_and_oversized_ticker(spark, folder):
     data = series("A", 50) + series("B", 50) + series("B", 40)
     land_raw(spark.createDataFrame(data, BARS), f"{folder}/raw")
-    cfg = config(folder, "lake", universe=("B",), features=FeatureSpec(hot_rows=20), register=False)
+    cfg = config(folder, "lake", universe=("B",), features=FeatureSpec(pieces=4), register=False)
     result = run(spark, cfg)
     assert (result.tickers, result.silver_rows, result.catalog_ok) == (1, 61, None)
     expected = silver(spark.createDataFrame([r for r in data if r[1] == "B"], BARS))

@@ -108,32 +108,21 @@ def skewed(seed, n_copies):
     return data
 
 
-@pytest.mark.parametrize("hot_rows", [7, 40, 100, 100_000])
-def test_oversized_tickers_give_the_same_rows(spark, hot_rows):
-    data = skewed(hot_rows, 200)
-    df = silver(frame(spark, data), FeatureSpec(hot_rows=hot_rows))
+@pytest.mark.parametrize("pieces", [70, 12, 5, 1, None])
+def test_pieces_of_tickers_give_the_same_rows(spark, pieces):
+    data = skewed(pieces or 3, 200)
+    df = silver(frame(spark, data), FeatureSpec(pieces=pieces))
     assert rows(df) == brute_force(data)
 
 
-def test_more_oversized_tickers_than_can_be_listed(spark, monkeypatch):
-    from barwright.operators import rolling
-
-    monkeypatch.setattr(rolling, "_MAX_LISTED_TICKERS", 1)
-    data = skewed(1, 50) + series("MORE", 60)
-    assert rows(silver(frame(spark, data), FeatureSpec(hot_rows=20))) == brute_force(data)
-
-
-def test_copies_are_spread_over_rows(spark, monkeypatch):
-    from barwright.operators import rolling
-
-    monkeypatch.setattr(rolling, "_COPIES_PER_TASK_ROW", 10)
+def test_copies_are_spread_over_pieces(spark):
     data = skewed(2, 500)
-    assert rows(silver(frame(spark, data), FeatureSpec(hot_rows=50))) == brute_force(data)
+    assert rows(silver(frame(spark, data), FeatureSpec(pieces=17))) == brute_force(data)
 
 
 def test_oversized_ticker_with_extra_columns(spark):
     bars = frame(spark, skewed(3, 100)).withColumn("note", F.when(F.col("Volume") != 2, "x"))
-    plain, cut = silver(bars, FeatureSpec()), silver(bars, FeatureSpec(hot_rows=25))
+    plain, cut = silver(bars, FeatureSpec(pieces=1)), silver(bars, FeatureSpec(pieces=9))
     assert plain.count() > 0 and rows(plain) == rows(cut)
 
 
@@ -143,10 +132,10 @@ def test_oversized_ticker_with_extra_columns(spark):
     st.integers(3, 60),
     st.randoms(use_true_random=False),
 )
-def test_rows_per_ticker(spark, sizes, hot_rows, r):
+def test_rows_per_ticker(spark, sizes, pieces, r):
     data = [bar for k, n in enumerate(sizes) for bar in series(f"T{k}", n, step=r.choice([0, 1, 4]))]
     if not data:
         return
-    df = silver(frame(spark, data), FeatureSpec(hot_rows=hot_rows))
+    df = silver(frame(spark, data), FeatureSpec(pieces=pieces))
     assert rows(df) == brute_force(data)
     assert df.count() == sum(max(0, n - 29) for n in sizes)
