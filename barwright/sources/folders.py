@@ -18,13 +18,14 @@ def _located(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(name, is a folder) of what lies in a folder, without hidden files; empty if there is no such folder."""
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without hidden ones; empty if there is no such folder."""
     system, where = _located(spark, path)
     if not system.exists(where):
         return []
-    found = [(s.getPath().getName(), s.isDirectory()) for s in system.listStatus(where)]
-    return sorted((name, folder) for name, folder in found if name[0] not in "_.")
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(system.listStatus(where))
+    names = [p.getName() for p in paths]
+    return sorted(n for n in names if n[0] not in "_.")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -78,9 +79,9 @@ def day_folders(spark: SparkSession, root: str) -> dict[dt.date, str] | None:
     Both ``<root>/YYYY-MM-DD/`` and ``<root>/data_particao=YYYY-MM-DD/`` name the day of the bars. One listing, of
     one name per day."""
     out = {}
-    for name, folder in children(spark, root):
+    for name in children(spark, root):
         match = _DAY.fullmatch(name)
-        if not folder or not match or match["key"] not in (None, RAW_PARTITION):
+        if not match or match["key"] not in (None, RAW_PARTITION):
             return None
         day = dt.date.fromisoformat(match["day"])
         if day in out:
@@ -92,7 +93,7 @@ def day_folders(spark: SparkSession, root: str) -> dict[dt.date, str] | None:
 def stored_keys(spark: SparkSession, path: str, partition: str) -> set[str]:
     """Values of a written table's partition key."""
     head = partition + "="
-    return {name.removeprefix(head) for name, folder in children(spark, path) if folder and name.startswith(head)}
+    return {name.removeprefix(head) for name in children(spark, path) if name.startswith(head)}
 
 
 def drop_keys(spark: SparkSession, path: str, partition: str, keys: Collection[str]) -> None:

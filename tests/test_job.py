@@ -233,3 +233,104 @@ def test_stream_equals_batch(spark, folder, full):
     assert stored(spark, cfg) == stored(spark, batch)
     assert spark.table(f"{cfg.database}.{cfg.silver_table}").count() == 16 + 6
     assert rows(read_bars(spark, cfg.raw_path), *RAW_COLUMNS)[0][1] == "A"
+
+
+def test_withdrawn_bars(spark, folder):
+    """A null close on one day, another price later, a whole day withdrawn, and a landing of withdrawn bars only."""
+    cfg, fresh = config(folder, "step", register=False), config(folder, "fresh", register=False)
+    data = series("A", 80) + series("B", 80) + [(day(200), "LONE", *[1.0] * 4, 1)] + series("GONE", 31, start=300)
+
+    def landed(bars, **changed):
+        land_raw(spark.createDataFrame(bars, BARS), f"{folder}/raw")
+
+    landed(data)
+    run(spark, cfg)
+    assert any(r[1] == "gone" for r in stored(spark, cfg)[0])
+    missing = [(*b[:5], None, b[6]) for b in data if b[0] == day(40)]
+    new_price = [(*b[:5], 77.0, b[6]) for b in data if b[0] == day(45)]
+    landed(missing + new_price)
+    run_changed(spark, cfg, [day(40), day(45)])
+    run(spark, fresh)
+    assert stored(spark, cfg) == stored(spark, fresh)
+    assert not any(r[0] == str(day(40)) for r in stored(spark, cfg)[0])
+    gone = [(*b[:5], None, b[6]) for b in data if b[1] == "GONE"]
+    landed(gone)
+    result = run_changed(spark, cfg, [b[0] for b in gone])
+    assert result.status == "ok"
+    again = config(folder, "again", register=False)
+    run(spark, again)
+    assert stored(spark, cfg) == stored(spark, again)
+    assert not any(r[1] == "gone" for table in stored(spark, cfg) for r in table)
+
+
+def test_a_refresh_opens_only_the_folders_of_its_range(spark, folder, monkeypatch):
+    from barwright.plans import job
+
+    land_raw(spark.createDataFrame(series("A", 400), BARS), f"{folder}/raw")
+    cfg = config(folder, "lake", register=False)
+    run(spark, cfg)
+    land_raw(spark.createDataFrame(series("A", 401)[-1:], BARS), f"{folder}/raw")
+    opened, frames = [], job.raw_frames
+    monkeypatch.setattr(job, "raw_frames", lambda spark, paths, schema=None: opened.append(paths) or frames(spark, paths, schema))
+    run_changed(spark, cfg, [day(400)])
+    names = {p.rsplit("=", 1)[1] for paths in opened for p in paths}
+    assert min(names) >= str(day(400 - 87)) and max(names) == str(day(400))
+    fresh = config(folder, "fresh", register=False)
+    run(spark, fresh)
+    assert stored(spark, cfg) == stored(spark, fresh)
+
+
+def test_plain_day_folders_are_refreshed_too(spark, folder):
+    cfg, fresh = config(folder, "lake", register=False), config(folder, "fresh", register=False)
+    land_raw(spark.createDataFrame(series("A", 60), BARS), f"{folder}/raw", plain=True)
+    assert str(day(3)) in os.listdir(f"{folder}/raw")
+    run(spark, cfg)
+    land_raw(spark.createDataFrame([(*b[:5], 50.0, b[6]) for b in series("A", 60)[50:51]], BARS), f"{folder}/raw", plain=True)
+    run_changed(spark, cfg, [day(50)])
+    run(spark, fresh)
+    assert stored(spark, cfg) == stored(spark, fresh)
+
+
+def test_a_new_extra_column_concerns_all_rows(spark, folder):
+    cfg, fresh = config(folder, "lake", register=False), config(folder, "fresh", register=False)
+    land_raw(spark.createDataFrame(series("A", 60), BARS), f"{folder}/raw")
+    run(spark, cfg)
+    extra = spark.createDataFrame(series("A", 61)[-1:], BARS).withColumn("note", F.lit("x"))
+    land_raw(extra, f"{folder}/raw")
+    run_changed(spark, cfg, [day(60)])
+    run(spark, fresh)
+    assert stored(spark, fresh)[0] == [r for r in stored(spark, cfg)[0] if r[0] == str(day(60))] != []
+
+
+def test_no_refresh_while_a_landing_is_under_way(spark, folder):
+    cfg = config(folder, "lake", register=False)
+    land_raw(spark.createDataFrame(series("A", 40), BARS), f"{folder}/raw")
+    os.remove(f"{folder}/raw/_SUCCESS")
+    assert refresh_on_new_files(spark, cfg, f"{folder}/checkpoint") is None
+    open(f"{folder}/raw/_SUCCESS", "w").close()
+    refresh_on_new_files(spark, cfg, f"{folder}/checkpoint").awaitTermination()
+    assert len(stored(spark, cfg)[0]) == 11
+
+
+def test_a_managed_table_is_never_dropped(spark, folder):
+    name = f"default.managed_{abs(hash(folder))}"
+    spark.range(5).write.saveAsTable(name)
+    with pytest.raises(ValueError, match="not an external table"):
+        catalog.ensure_table(spark, name, SILVER_SCHEMA, "data_pregao", f"{folder}/t")
+    with pytest.raises(ValueError, match="not an external table"):
+        catalog.drop_table(spark, name)
+    assert spark.table(name).count() == 5
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_top_rows_do_not_depend_on_the_partitions(spark):
+    bars = spark.createDataFrame(series("A.SA", 60) + series("A.SA", 60), BARS)
+    alike = bars.withColumn("Ticker", F.lit("A")).withColumn("Close", F.col("Close") + 1)
+    refined = silver(bars.unionByName(alike)).persist()
+    asks = (
+        lambda t: serve.latest_days(t, "a", day(58)),
+        lambda t: serve.newest_since(t, day(40), 7),
+        lambda t: serve.ticker_since(t, "a", day(40), 7),
+    )
+    for ask in asks:
+        assert len({str(ask(refined.repartition(n)).collect()) for n in (1, 2, 5, 9)}) == 1

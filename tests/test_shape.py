@@ -1,5 +1,5 @@
 import pytest
-from conftest import BARS, rows, series
+from conftest import BARS, day, rows, series
 from pyspark.sql import functions as F
 
 from barwright.operators import shape
@@ -78,3 +78,30 @@ def test_clean_drops_missing_keys_and_close_but_not_nan(spark):
 def test_clean_names_absent_columns(spark):
     with pytest.raises(ValueError, match="Volume"):
         clean_bars(spark.createDataFrame([], BARS).drop("Volume"))
+
+
+def test_a_nan_volume_keeps_its_bar_and_a_huge_one_is_an_error(spark):
+    kinds = BARS.replace("Volume bigint", "Volume double")
+    found = clean_bars(spark.createDataFrame([(day(0), "A", 1.0, 1.0, 1.0, 1.0, float("nan"))], kinds))
+    assert [r["Volume"] for r in found.collect()] == [0]
+    with pytest.raises(Exception, match="volume beyond bigint"):
+        clean_bars(spark.createDataFrame([(day(0), "A", 1.0, 1.0, 1.0, 1.0, 1e30)], kinds)).collect()
+
+
+def test_any_price_and_order_key_makes_a_bar(spark):
+    import datetime as dt
+
+    from barwright.plans.bars import daily_bars
+
+    lines = [(k, p, 1.0, dt.datetime(2024, 1, 1)) for k, p in [(1, 3e6), (1, -7.5), (2**50, 2.0**40), (2**50, -1.0), (5, 0.0)]]
+    frame = spark.createDataFrame(lines, "l_orderkey bigint, l_extendedprice double, l_quantity double, l_shipdate timestamp_ntz")
+    bar = daily_bars(frame, F.lit("T")).first()
+    assert (bar["Open"], bar["Close"], bar["High"], bar["Low"]) == (-8.0, 2.0**40, 2.0**40, -8.0)
+
+
+def test_means_beyond_bigint_do_not_depend_on_the_order(spark):
+    from barwright.functions import mean2
+
+    values = [(1e15 + k, k % 7) for k in range(3000)]
+    frame = spark.createDataFrame(values, "x double, k int")
+    assert len({frame.repartition(n, "x").agg(mean2(F.col("x"))).first()[0] for n in (1, 3, 8)}) == 1
