@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, jaccard_join, licenses, masked_lm, packing, quality_net, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import decontaminate, jaccard_join, licenses, masked_lm, oracles, packing, quality_net, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -70,4 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": oracles.DECONTAMINATE,
+    "op9_jaccard_join": oracles.JACCARD_JOIN,
+}

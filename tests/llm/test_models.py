@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from oracle import connect, differences
 
 import __spark_entry__ as registered
 import corpus_pipeline
@@ -78,6 +79,12 @@ def docs_clash():
     return F.lit("taken")
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_counterpart(spark, name):
+    tables = TABLES.replace("0.01", "0.001")
+    assert differences(queries.QUERIES[name](spark, tables), connect(tables), queries.ORACLES[name]) == []
+
+
 def test_fresh_names(spark):
     assert fresh(spark.createDataFrame([(1, 2)], "Score int, score_ int"), "score", "score") == ["score__", "score___"]
 
