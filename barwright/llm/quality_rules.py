@@ -5,8 +5,8 @@ walked from lenient to strict. A cutoff is certified if, among the labelled good
 rejected that a true rejection rate above `risk / number of rules` is refuted by the exact binomial test at level
 `delta / (strata x rules)`; the walk ends at the first cutoff that fails (fixed-sequence testing needs no further
 correction), and the strictest certified cutoff is used. Together: with probability 1 - delta no stratum loses more than
-the share `risk` of its good documents to the rules. A stratum with too few labels takes the cutoffs of all labels together,
-which count as one more stratum in the correction.
+the share `risk` of its good documents to the rules. A stratum with too few labels for a certificate of its own has no cutoffs:
+the base rule alone decides there, since cutoffs of other strata or of all labels together promise nothing about it.
 
 Defined results: null texts have no words and fail the base rule. A null stratum counts as the empty one.
 Labels of one document that disagree, and null ones, are not used. Without labels no rule is certified and the base rule
@@ -36,6 +36,8 @@ _NOT_UPPER = bytes(c for c in range(256) if c not in _UPPER)
 MEASURES = ("symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share", "same_word_share")
 #: Cutoffs from lenient to strict, the same for every measure.
 LADDER = tuple(round(0.96 - 0.02 * k, 2) for k in range(48))
+#: Above every measure: rejects nothing.
+NO_CUTOFF = 9.0
 
 _MEASURED = pa.struct(
     [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -107,21 +109,20 @@ def strictest(rejected: list[int], n: int, rate: float, level: float) -> float |
     return best
 
 
-def certified_cutoffs(good: DataFrame, risk: float, delta: float) -> list[tuple[str | None, str, float]]:
-    """(stratum, measure, cutoff); stratum None: for all others. good: stratum and measures of good documents."""
+def certified_cutoffs(good: DataFrame, risk: float, delta: float) -> list[tuple[str, str, float]]:
+    """(stratum, measure, cutoff) of the strata with enough labels. good: stratum and measures of good documents."""
     least = math.log(1 / delta) / -math.log1p(-risk / len(MEASURES))  # fewer labels certify nothing
     counts = [
         F.count_if(F.col(m) >= c).alias(f"{m}_{k}") for m in MEASURES for k, c in enumerate(LADDER)
     ]
     strata = good.groupBy("stratum").agg(F.count("*").alias("n"), *counts).where(F.col("n") >= least)
     rows = strata.collect()  # at most one row per `least` labels
-    rows += good.agg(F.lit(None).cast("string").alias("stratum"), F.count("*").alias("n"), *counts).collect()
-    level = delta / (len(rows) * len(MEASURES))
+    level = delta / (max(1, len(rows)) * len(MEASURES))
     out = []
     for row in rows:
         for m in MEASURES:
             c = strictest([row[f"{m}_{k}"] for k in range(len(LADDER))], row["n"], risk / len(MEASURES), level)
-            out.append((row["stratum"], m, 9.0 if c is None else c))
+            out.append((row["stratum"], m, NO_CUTOFF if c is None else c))
     return out
 
 
@@ -150,11 +151,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: f
     )
     good = rows.where(~base_failed()).join(agreed, "doc_id", "left_semi").select("stratum", *MEASURES)
     cutoffs = certified_cutoffs(good, risk, delta)
-    rest = {m: c for s, m, c in cutoffs if s is None}
     by_stratum: dict[str, dict[str, float]] = {}
     for s, m, c in cutoffs:
-        if s is not None:
-            by_stratum.setdefault(s, {})[m] = c
+        by_stratum.setdefault(s, {})[m] = c
     limits = spark.createDataFrame(
         [(s, *[c[m] for m in MEASURES]) for s, c in by_stratum.items()],
         "stratum string, " + ", ".join(f"limit_{m} double" for m in MEASURES),
@@ -162,7 +161,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: f
     judged = rows.join(F.broadcast(limits), "stratum", "left")  # a row per certified stratum
     rejected = F.lit(False)
     for m in MEASURES:
-        rejected |= F.col(m) >= F.coalesce(f"limit_{m}", F.lit(rest[m]))
+        rejected |= F.col(m) >= F.coalesce(f"limit_{m}", F.lit(NO_CUTOFF))
     return judged.select(
         "doc_id",
         "n_words",
