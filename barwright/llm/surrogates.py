@@ -31,8 +31,8 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Kind and pattern; where several match at one place, the first counts.
 PATTERNS = {
     "EMAIL": r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "SECRET": r"(?=[A-Za-z0-9_/+-]{16})(?<=(?:token|secret|passwd|password|api_key|apikey) {0,2}[=:] {0,2}[\"']{0,1})[A-Za-z0-9_/+-]{16,128}"
-    r"|(?:[0-9a-f]{40}|(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])",
+    "SECRET": r"(?=[A-Za-z0-9_/+-]{16})(?<=(?:token|secret|passwd|password|api_key|apikey) {0,2}[=:] {0,2}[\"']{0,1})[A-Za-z0-9_/+-]{16,}+"
+    r"|(?:[0-9a-f]{40}|(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
     "IP": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "PHONE": r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
     r"|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
@@ -60,7 +60,7 @@ def _kind(form: Column) -> Column:
     for name in reversed(PATTERNS):
         if name not in ("PERSON", "SECRET"):
             kind = F.when(form.rlike(f"^(?:{PATTERNS[name]})$"), F.lit(name)).otherwise(kind)
-    secret = form.rlike(r"^[A-Za-z0-9_/+-]{16,128}$") & ~form.rlike(r"^[0-9-]{13,37}$")
+    secret = form.rlike(r"^[A-Za-z0-9_/+-]{16,}+$") & ~form.rlike(r"^[0-9-]{13,37}$")
     return F.when(form.rlike(f"^(?:{PATTERNS['EMAIL']})$"), F.lit("EMAIL")).when(secret, F.lit("SECRET")).otherwise(kind)
 
 
