@@ -73,6 +73,8 @@ FREEDOM = {
 }
 _EXCEPTION = 0.2
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*(?::[a-z0-9.+-]+)?")
+#: The end of an expression after a tag.
+_END = re.compile(r"[\r\n]|\*/|-->")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -180,9 +182,12 @@ def scan_text(text: bytes, phrases, tags) -> dict:
     labels = {f["label"] for f in findings}
     values = [freedom(x) for x in labels]
     low = text.lower().decode("latin-1")
-    expressions = []
+    expressions, stop = [], 0
     for end, _ in tags.iter(low):
-        expression = re.split(r"[\r\n]|\*/|-->", low[end + 1 : end + 2001], maxsplit=1)[0].strip(" \t#*;\"'")
+        if stop <= end:  # the tags of one line share its end
+            found = _END.search(low, end + 1)
+            stop = found.start() if found else len(low)
+        expression = low[end + 1 : stop].strip(" \t#*;\"'")
         parsed = evaluate(expression)
         expressions.append(expression.encode("latin-1").decode("utf-8", "replace"))
         values.append(parsed[0] if parsed else freedom(""))
