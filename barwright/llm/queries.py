@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, jaccard_join, licenses, masked_lm, oracles, packing, quality_net, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import decontaminate, jaccard_join, licenses, masked_lm, mixing, oracles, packing, quality_net, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("findings", "expressions")
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_quality_net": op2_quality_net,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_licenses": op10_licenses,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLES: dict[str, str] = {
