@@ -43,6 +43,16 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return kept[name]
 
 
+def worker_slot(slot: str, name: str, make: Callable[[], object]) -> object:
+    """Like worker_cache, but the worker keeps one object per slot: one of another name takes its place, so that long-lived workers
+    do not pile up what earlier jobs needed."""
+    slots = worker_cache("slots", dict)
+    if slot not in slots or slots[slot][0] != name:
+        slots.pop(slot, None)
+        slots[slot] = (name, make())
+    return slots[slot][1]
+
+
 def fresh(frame: DataFrame, *bases: str) -> list[str]:
     """Column names that the frame does not have, in any case."""
     taken = {c.lower() for c in frame.columns}

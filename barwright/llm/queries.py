@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import decontaminate, jaccard_join, licenses, masked_lm, mixing, oracles, packing, quality_net, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import alignment, decontaminate, jaccard_join, licenses, masked_lm, mixing, oracles, packing, quality_net, quality_rules, sharding, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -57,6 +57,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("findings", "expressions")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *files)
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_licenses": op10_licenses,
+    "op12_alignment": op12_alignment,
     "op13_mixing": op13_mixing,
 }
 
