@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import alignment, decontaminate, jaccard_join, licenses, masked_lm, mixing, oracles, packing, quality_net, quality_rules, sharding, surrogates, token_counts
+from barwright.llm import alignment, decontaminate, jaccard_join, licenses, masked_lm, mixing, oracles, packing, quality_net, quality_rules, sharding, spelling, surrogates, token_counts
 from barwright.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("findings", "expressions")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_licenses": op10_licenses,
+    "op11_spelling": op11_spelling,
     "op12_alignment": op12_alignment,
     "op13_mixing": op13_mixing,
 }

@@ -1,0 +1,100 @@
+"""Spelling variants against a plain version that tries every edit in a dictionary."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from barwright.llm import spelling
+from barwright.llm.common import table
+from barwright.llm.queries import QUERIES
+
+LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def counted(rows):
+    seen = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOW)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            if len(run) >= 7:
+                seen[run] += 1
+    return {w: n for w, n in seen.items() if n >= 2}
+
+
+def near_of(words):
+    letters = sorted({c for w in words for c in w})
+    out = {}
+    for w in words:
+        edits = {w[:k] + w[k + 1 :] for k in range(len(w))}
+        edits |= {w[:k] + c + w[k + 1 :] for k in range(len(w)) for c in letters}
+        edits |= {w[:k] + c + w[k:] for k in range(len(w) + 1) for c in letters}
+        out[w] = {x for x in edits if x in words and x != w}
+    return out
+
+
+def plain(rows):
+    words = counted(rows)
+    near, form = near_of(words), {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        if best is not None and words[best] >= 10 * n:
+            form[w] = best
+    out = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), words.get(form.get(w))))
+    return Counter(out)
+
+
+def pairs(frame):
+    return Counter((r["word"], r["near"]) for r in frame.collect())
+
+
+@pytest.mark.parametrize("deepest", [32, 3])
+def test_neighbours(spark, deepest):
+    rng = random.Random(5)
+    words = {"".join(rng.choice("abé") for _ in range(rng.randint(7, 9))) for _ in range(150)}
+    words |= {"aaaaaaa", "aaaaaaaa", "aaaaaaaaa", "abababa", "bababab", "long" * 20, "long" * 19 + "lonk", "long" * 20 + "x"}
+    words |= {"x" + "long" * 20, "long" * 10 + "g" + "long" * 10, "l" * 40, "l" * 41, "l" * 32, "l" * 33, "l" * 31, "ÿ" * 7, "þ" + "ÿ" * 6}
+    found = pairs(spelling.neighbours(spark.createDataFrame([(w,) for w in sorted(words)], "word string"), deepest))
+    assert set(found.values()) == {1}
+    assert set(found) == {(w, x) for w, near in near_of(words).items() for x in near}
+
+
+def test_very_long_words(spark):
+    a = "qwertzuiop" * 3000
+    words = [a, a[:-1], a[:15_000] + "x" + a[15_000:], a[:20_000] + "x" + a[20_001:], a[::-1], "b" + a]
+    found = set(pairs(spelling.neighbours(spark.createDataFrame([(w,) for w in words], "word string"))))
+    assert found == {(x, y) for x in (a,) for y in (words[1], words[2], words[3], words[5])} | {
+        (y, x) for x in (a,) for y in (words[1], words[2], words[3], words[5])
+    }
+
+
+def test_awkward_rows(spark):
+    rows = [(k, t) for k, t in enumerate([None, "", " 123 ", "short run", "ÀÉÎõü×÷ Straßen STRASSEN", "mixed中letters" * 4])]
+    rows += [(100 + k, "language lanquage Language languages " + "language " * 40) for k in range(9)]
+    rows += [(200 + k, "languagess languagesst " * (k % 2)) for k in range(12)] + [(None, "language naïvely naïvely")] * 3
+    rows += [(300, "repeated repeated repeatet"), (300, "repeated repeated repeatet"), (301, "x" * 60 + " " + "x" * 60)]
+    wide = [(d, t, "clash", 1, 2) for d, t in rows]
+    docs = spark.createDataFrame(wide, "doc_id bigint, text string, word string, `N` int, `a.b` int")
+    found = spelling.variants(docs)
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert Counter(map(tuple, found.collect())) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert spelling.variants(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
+    assert Counter(map(tuple, QUERIES["op11_spelling"](spark, sf_dir).collect())) == plain(rows)
