@@ -4,22 +4,28 @@ A bar depends on at most ``depth`` (29) earlier bars of its ticker. Where a tick
 ticker, one sort and one window pass do it. Otherwise a ticker may hold any share of the rows, and all bars are cut into
 contiguous pieces by range over ticker and order:
 
-1. a range exchange over the full bar order, completed by a row number, spreads the rows evenly, copies as well;
-2. windows inside a piece are right from its ``depth + 1``-th row of a ticker on;
-3. where a ticker goes on from earlier pieces, its first ``depth`` rows of a piece get the ``depth`` bars before them as
-   context rows, from as many earlier pieces as it takes, and are windowed again in a group of their own.
-
-No group is larger than a piece or ``2 * depth`` rows. The number of pieces follows the session's shuffle partitions.
+1. a range exchange over the full bar order, completed by a row number, spreads the rows evenly, copies as well; the
+   pieces are written once, since a range exchange that is computed again may cut elsewhere;
+2. a segmented scan: where a ticker goes on in a later piece, its last ``depth`` rows of a piece are handed to that successor, by
+   equality on ticker and piece; a piece that holds fewer rows of the ticker also passes on what it was handed;
+3. one window pass over pieces and what they were handed; handed rows are context only and are dropped again.
+
+A piece has at most two tickers that go on in other pieces, so what step 2 moves grows with the number of pieces. No group is larger
+than a piece and ``depth`` rows. The number of pieces follows the bytes that are read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.config import FeatureSpec
-from barwright.plans.scratch import durable
+from barwright.scratch import durable, written
 
+# Bytes of a piece in memory, how much larger rows are there than in their files, and most pieces.
+_PIECE_BYTES, _SWELL, _MOST_PIECES = 256 << 20, 4, 100_000
 # Ties within a day have no order of their own; this makes results repeatable.
 TIE_BREAK = ("Close", "Open", "High", "Low", "Volume")
 
@@ -54,32 +60,48 @@ def ticker_counts(bars: DataFrame) -> DataFrame:
     return bars.groupBy("Ticker").agg(F.count("*").alias("n_bars"))
 
 
+def piece_count(bars: DataFrame) -> int:
+    """How many pieces the bytes of the frame's sources ask for; the shuffle partitions where a source does not know its bytes."""
+    leaves = bars._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    spark = bars.sparkSession
+    if size >= 1 << 60:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(_MOST_PIECES, max(spark.sparkContext.defaultParallelism, math.ceil(_SWELL * size / _PIECE_BYTES)))
+
+
 def _by_pieces(bars: DataFrame, spec: FeatureSpec, order: list[str]) -> DataFrame:
-    depth, columns = spec.depth, bars.columns
-    n = spec.pieces or int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # 1: contiguous pieces, kept as they are: a range exchange that is computed again may cut elsewhere.
+    columns = bars.columns
     order = [*order, "_row"]
     numbered = bars.withColumn("_row", F.monotonically_increasing_id())
-    pieces = durable(numbered.repartitionByRange(n, "Ticker", *order).withColumn("_piece", F.spark_partition_id()))
-    # 2: windows within a piece.
-    names = list(rolling_columns(spec, ["Ticker"], order))
-    inner = Window.partitionBy("_piece", "Ticker").orderBy(*order)
-    tail = F.lead(F.lit(1), depth).over(inner).isNull()
-    within = {**rolling_columns(spec, ["_piece", "Ticker"], order), "_nth": F.row_number().over(inner), "_tail": tail}
-    inside = durable(pieces.withColumns(within))
-    # 3: a ticker's rows before each of its pieces, and which pieces need a tail row as context.
-    earlier = Window.partitionBy("Ticker").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = inside.groupBy("Ticker", "_piece").agg(F.max("_nth").alias("_size"))
-    starts = durable(sizes.select("Ticker", "_piece", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")))
-    going_on = starts.where(F.col("_before") > 0).select(
-        F.col("Ticker").alias("_of"), F.col("_piece").alias("_group"), F.col("_before").alias("_until")
+    cut = numbered.repartitionByRange(spec.pieces or piece_count(bars), "Ticker", *order)
+    pieces = written(cut.withColumn("_piece", F.spark_partition_id()), "pieces")
+    handed = handed_on(pieces, spec.depth, order).select(*columns, "_row", "_piece", F.lit(False).alias("_own"))
+    rows = pieces.withColumn("_own", F.lit(True)).unionByName(handed)
+    rolling = rolling_columns(spec, ["_piece", "Ticker"], order)
+    return rows.withColumns(rolling).where("_own").select(*columns, *rolling)
+
+
+def handed_on(pieces: DataFrame, depth: int, order: list[str]) -> DataFrame:
+    """For every piece and ticker the ``depth`` rows of the ticker before the piece, with that piece as ``_piece``."""
+    along = Window.partitionBy("Ticker").orderBy("_piece")  # a row per piece that holds the ticker
+    sizes = pieces.groupBy("Ticker", "_piece").agg(F.count("*").alias("_size"))
+    chain = sizes.select(
+        "Ticker", "_piece", "_size", F.lag("_piece").over(along).alias("_last"), F.lead("_piece").over(along).alias("_next")
     )
-    tails = inside.where("_tail").join(starts, ["Ticker", "_piece"]).withColumn("_at", F.col("_before") + F.col("_nth"))
-    needed = (F.col("Ticker") == F.col("_of")) & (F.col("_at") <= F.col("_until")) & (F.col("_at") > F.col("_until") - depth)
-    context = tails.join(going_on, needed).select(*columns, "_row", "_group", F.lit(False).alias("_own"))
-    first = inside.where(F.col("_nth") <= depth)
-    continued = (F.col("Ticker") == F.col("_of")) & (F.col("_piece") == F.col("_group"))
-    heads = first.join(going_on, continued).select(*columns, "_row", "_group", F.lit(True).alias("_own"))
-    again = heads.unionByName(context).withColumns(rolling_columns(spec, ["Ticker", "_group"], order)).where("_own")
-    settled = inside.where(F.col("_nth") > depth).unionByName(first.join(going_on, continued, "left_anti"))
-    return settled.select(*columns, *names).unionByName(again.select(*columns, *names))
+    chain = durable(chain.where("_last IS NOT NULL OR _next IS NOT NULL"))  # at most two rows per piece
+    newest = Window.partitionBy("Ticker", "_piece").orderBy(*[F.desc(c) for c in order])
+    ending = pieces.join(F.broadcast(chain.where("_next IS NOT NULL").select("Ticker", "_piece", "_next")), ["Ticker", "_piece"])
+    # _behind: how many rows of the ticker the row stands before the piece it is handed to.
+    tails = ending.withColumn("_behind", F.row_number().over(newest)).where(F.col("_behind") <= depth)
+    moving = durable(tails.drop("_piece").withColumnRenamed("_next", "_piece"))
+    short = chain.where((F.col("_size") < depth) & F.col("_last").isNotNull() & F.col("_next").isNotNull())
+    short = F.broadcast(short.select("Ticker", "_piece", "_size", "_next"))
+    handed = moving
+    while True:  # at most depth rounds: every short piece on the way holds a row
+        moving = moving.join(short, ["Ticker", "_piece"]).withColumn("_behind", F.col("_behind") + F.col("_size"))
+        moving = moving.where(F.col("_behind") <= depth).drop("_piece", "_size").withColumnRenamed("_next", "_piece")
+        moving = durable(moving)
+        if moving.isEmpty():
+            return handed
+        handed = handed.unionByName(moving)

@@ -27,7 +27,7 @@ from barwright.plans.bars import (
     trade_bars,
 )
 from barwright.plans.job import run
-from barwright.plans.scratch import new_folder
+from barwright.scratch import new_folder
 from barwright.sinks import catalog
 from barwright.sinks.files import is_complete, land_raw, save_partitioned
 from barwright.sources.folders import modified, stored_keys

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barwright.config import FeatureSpec
 from barwright.operators.clean import clean_bars
+from barwright.operators.rolling import handed_on, piece_count
 from barwright.operators.silver import silver
 from barwright.schema import SILVER_COLUMNS, SILVER_SCHEMA
 
@@ -139,3 +140,40 @@ def test_rows_per_ticker(spark, sizes, pieces, r):
     df = silver(frame(spark, data), FeatureSpec(pieces=pieces))
     assert rows(df) == brute_force(data)
     assert df.count() == sum(max(0, n - 29) for n in sizes)
+
+
+def test_what_pieces_hand_on(spark):
+    """Pieces of 1 to 3 rows: rows reach beyond their successor, and stop after `depth` rows."""
+    rng = random.Random(4)
+    data, piece, at = [], 0, 0
+    for ticker, n in (("A", 40), ("B", 2), ("C", 9)):
+        for _ in range(n):
+            if rng.random() < 0.5:
+                piece += rng.randint(1, 3)  # some pieces are empty
+            data.append((ticker, at, piece))
+            at += 1
+    found = handed_on(spark.createDataFrame(data, "Ticker string, at int, _piece int"), 5, ["at"])
+    expected = set()
+    for ticker, group in {(t, p) for t, _, p in data}:
+        before = sorted(a for t, a, p in data if t == ticker and p < group)[-5:]
+        expected |= {(ticker, a, group) for a in before}
+    got = [(r["Ticker"], r["at"], r["_piece"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_pieces_meet_by_equality_only(spark, sf_dir):
+    from barwright.plans.queries import QUERIES
+
+    plan = QUERIES["silver_hot_ticker"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert not any(sign in line for line in joins for sign in ("<=", ">=", " < ", " > "))
+
+
+def test_piece_count_follows_the_bytes(spark, folder, monkeypatch):
+    spark.range(500_000).write.parquet(f"{folder}/some")
+    frame = spark.read.parquet(f"{folder}/some")
+    assert piece_count(frame) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr("barwright.operators.rolling._PIECE_BYTES", 1 << 16)
+    few = piece_count(frame)
+    assert spark.sparkContext.defaultParallelism < few < piece_count(frame.union(frame)) <= 2 * few
