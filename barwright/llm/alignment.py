@@ -2,9 +2,9 @@
 
 Both tokenizers read a space and the text. The ends of tokens in bytes, summed up along the text, go into one dictionary
 per tokenizer (end to index); the ends that both know, sorted, cut both id lists into groups, and all pairs inside a group are
-links. Neither tokenizer merges from a character that is no white space into white space, so a text is cut in front of its
-white space, and each distinct piece is encoded and aligned once per worker; a piece's end is always a common end. Texts with a
-white-space character for which the vocabulary breaks that rule are taken in one piece.
+links. Neither tokenizer merges from a character that is no white space into white space, or from a letter into a full stop, comma
+and the like, so a text is cut there, and a worker keeps what it found for a piece; a piece's end is always a common end. The
+vocabularies are asked whether that holds: signs that break it do not cut, and texts with white space that breaks it stay whole.
 
 Corpus-wide counts: every document's distinct links are written once; an aggregation counts the documents of each id pair. A
 table of the most frequent pairs, cut at a count so that it never has more than TABLE rows, is broadcast and answers most
@@ -17,11 +17,13 @@ documents of their own. Null ids are allowed. An empty table gives no rows. Extr
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,16 @@ from pyspark.sql import functions as F
 
 from barwright.llm.common import durable, named, worker_slot, written
 
-#: Most pairs in the broadcast table; pieces in a worker's cache, and the longest piece kept in it, in characters.
-TABLE, CACHED, CACHED_CHARS = 131_072, 200_000, 48
+#: Most pairs in the broadcast table; pieces in each half of a worker's cache, and the longest piece kept in it, in characters.
+TABLE, CACHED, CACHED_CHARS = 131_072, 150_000, 48
 #: Bits of the second id in a pair's key.
 _LOW = 20
 _SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0  -     　"
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", ",.;:!?"
+#: The split of byte-level vocabularies in front of their merges (fixed value).
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Longer pieces are left to the library that the vocabulary file is made for.
+_RANKED_CHARS = 256
 _NO_TOKENS = (0, 0, 0, 0, b"", ())
 
 
@@ -56,6 +63,25 @@ def groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, in
     return out
 
 
+def ranked(a_json: str, entries: list[bytes]):
+    """The same byte-level merges by rank, which encode short pieces much faster; None if the file is of another kind.
+
+    Merging by rank does the same as merging by the list if every merge makes an entry of a higher id than those before it."""
+    made = json.loads(a_json)
+    model, split = made["model"], made["pre_tokenizer"] or {}
+    plain = made["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    if not plain or model["type"] != "BPE" or model["dropout"] or model["unk_token"] or model.get("ignore_merges"):
+        return None
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(set(merged)):
+        return None
+    import tiktoken
+
+    added = {t["id"] for t in made["added_tokens"]}
+    ranks = {entries[k]: k for k in model["vocab"].values() if k not in added}
+    return tiktoken.Encoding(uuid.uuid4().hex, pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Pieces of a text -> (tokens A, tokens B, groups, links, the groups as text, pair keys with repeats), or None if the bytes differ."""
 
@@ -76,54 +102,79 @@ class Aligner:
         self.b_bytes = [
             bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode("utf-8") for p in pieces
         ]
+        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.ranks = ranked(a_json, self.a_bytes)
         # White space that an entry holds behind another character: texts with it are not cut.
+        entries = [*pieces, *(x.decode("utf-8", "ignore") for x in self.a_bytes)]
         behind = re.compile(f"(?<=[^{_SPACES}▁])[{_SPACES}▁]")
-        bound = {c.replace("▁", " ") for p in pieces for c in behind.findall(p)}
-        bound |= {c for x in self.a_bytes for c in behind.findall(x.decode("utf-8", "ignore"))}
+        bound = {c.replace("▁", " ") for p in entries for c in behind.findall(p)}
         bound |= set("\x1c\x1d\x1e\x1f")  # white space to some readers only
         self.whole = re.compile("[" + "".join(sorted(map(re.escape, bound))) + "]")
-        self.piece = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
+        inside = re.compile(f"(?<=[{_LETTERS}])[{_SIGNS}]")
+        signs = re.escape("".join(sorted(set(_SIGNS) - {c for p in entries for c in inside.findall(p)})))
+        words = f"[{_SPACES}]*[^{_SPACES}{signs}]+(?<=[{_LETTERS}])(?=[{signs}])|" if signs else ""
+        self.piece = re.compile(f"{words}[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
         self.mark = self.b.encode("\n")  # what stands before a text that begins with a line end: the added space, the line end
         self.cuts = " " not in bound and not any("\n" in p for p in pieces) and len(self.mark) == 2
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def pieces(self, text: str) -> list[str]:
         spaced = " " + text
         return [spaced] if not self.cuts or self.whole.search(text) else self.piece.findall(spaced)
 
-    def _aligned(self, piece: str, a: list[int]) -> tuple | None:
-        if piece == " ":
-            b = self.mark[:1]  # at the end of a text
-        elif piece[0] == " ":
-            b = self.b.encode(piece[1:])  # adds the space
-        else:
-            b = self.b.encode("\n" + piece)
-            if b[:2] != self.mark:
-                return None
-            b = b[2:]
+    def _a_ids(self, pieces: list[str]) -> list[list[int]]:
+        if self.ranks is None:
+            return [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        own, long = self.ranks.encode_ordinary, lambda p: self.a.encode(p, add_special_tokens=False).ids
+        return [own(p) if len(p) <= _RANKED_CHARS else long(p) for p in pieces]
+
+    def _b_ids(self, pieces: list[str]) -> list[list[int] | None]:
+        """The tokenizer adds a space, which stands for the piece's own; other pieces follow a line end, whose tokens go."""
+        found = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in pieces], num_threads=1)
+        for k, p in enumerate(pieces):
+            if p == " ":
+                found[k] = self.mark[:1]  # at the end of a text
+            elif p[0] != " ":
+                found[k] = found[k][2:] if found[k][:2] == self.mark else None
+        return found
+
+    def _aligned(self, piece: str, a: list[int], b: list[int] | None) -> tuple | None:
         body = piece.encode("utf-8")
-        a_parts, b_parts = [self.a_bytes[x] for x in a], [self.b_bytes[x] for x in b]
-        if b"".join(a_parts) != body or b"".join(b_parts) != body:
+        b_bytes = self.b_bytes
+        if b is None or b"".join([b_bytes[x] for x in b]) != body:
+            return None
+        a_ends = list(accumulate([self.a_size[x] for x in a]))
+        if a_ends[-1] != len(body):
             return None
-        a_ends, b_ends = np.cumsum([len(x) for x in a_parts]).tolist(), np.cumsum([len(x) for x in b_parts]).tolist()
-        text, keys, links = [], [], 0
-        cut = groups(a_ends, b_ends)
+        cut = groups(a_ends, list(accumulate([self.b_size[x] for x in b])))
+        text, keys = [], []
         for a0, a1, b0, b1 in cut:
-            text.append(",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])))
-            links += (a1 - a0) * (b1 - b0)
-            keys += [x << _LOW | y for x in a[a0:a1] for y in b[b0:b1]]
-        kept = tuple(keys)
-        return len(a), len(b), len(cut), links, ";".join(text).encode(), kept
+            if a1 - a0 == b1 - b0 == 1:
+                text.append(f"{a[a0]}|{b[b0]}")
+                keys.append(a[a0] << _LOW | b[b0])
+            else:
+                text.append(",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])))
+                keys += [x << _LOW | y for x in a[a0:a1] for y in b[b0:b1]]
+        return len(a), len(b), len(cut), len(keys), ";".join(text).encode(), tuple(keys)
 
     def table(self, pieces: set[str]) -> dict[str, tuple | None]:
-        """What is known of the pieces, each new one encoded once."""
+        """What is known of the pieces; each new one is encoded once. The cache has a newer and an older half."""
         if len(self.known) > CACHED:
-            self.known = {}
-        new = [p for p in pieces if p not in self.known]
-        ids = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        found = {p: self._aligned(p, a) for p, a in zip(new, ids)}
-        self.known.update((p, x) for p, x in found.items() if len(p) <= CACHED_CHARS)
-        return {p: self.known[p] if p in self.known else found[p] for p in pieces}
+            self.known, self.older = {}, self.known
+        known, older, out, new = self.known, self.older, {}, []
+        for p in pieces:
+            if p in known:
+                out[p] = known[p]
+            elif p in older:
+                out[p] = known[p] = older[p]
+            else:
+                new.append(p)
+        for p, a, b in zip(new, self._a_ids(new), self._b_ids(new)):
+            out[p] = found = self._aligned(p, a, b)
+            if len(p) <= CACHED_CHARS:
+                known[p] = found
+        return out
 
     def rows(self, texts: list[bytes | None]) -> list[tuple]:
         """For each text: (n_a, n_b, n_groups, n_links, digest, distinct pair keys, how often each is linked)."""
@@ -170,10 +221,10 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, id_column: str = "doc_id"
     """Every document's token, group and link numbers, the digest of its groups, and its distinct links: pair keys
     (id of A * 2^20 + id of B) and how often each is linked."""
     with open(a_file, encoding="utf-8") as file:
-        json = file.read()
+        vocabulary = file.read()
     with open(b_file, "rb") as file:
         model = file.read()
-    sent = docs.sparkSession.sparkContext.broadcast((json, model))  # the vocabularies
+    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, model))  # the vocabularies
     name = uuid.uuid4().hex
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
