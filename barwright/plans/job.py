@@ -8,20 +8,20 @@ from collections.abc import Collection
 from dataclasses import dataclass, field
 from functools import partial
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright import schema
 from barwright.config import PipelineConfig, RunResult
-from barwright.functions import day_text
 from barwright.operators.gold import monthly
 from barwright.operators.rolling import TIE_BREAK, ticker_counts
+from barwright.operators.shape import combine
 from barwright.operators.silver import silver
 from barwright.plans.serve import table_stats
 from barwright.sinks import catalog
-from barwright.sinks.files import save_partitioned
-from barwright.sources.folders import day_folders, drop_keys, read_text, stored_keys, write_text
+from barwright.sinks.commits import Commit, recover
+from barwright.sources.folders import day_folders, read_text, stored_keys, write_text
+from barwright.sources.manifest import refresh_manifest
 from barwright.sources.raw import RawColumns, bars_of, columns_of, raw_frames
 from barwright.sources.tables import read_folders, read_partitions
 
@@ -40,6 +40,10 @@ def run(spark: SparkSession, cfg: PipelineConfig, dry_run: bool = False) -> RunR
     Only partitions with rows in this run are replaced. ``dry_run`` reads and
     counts, and publishes nothing.
     """
+    if not dry_run:
+        recover_tables(spark, cfg)
+    if not dry_run and cfg.raw_schema is None:
+        refresh_manifest(spark, cfg.raw_path)
     frames = raw_frames(spark, cfg.raw_path, cfg.raw_schema)
     bars = bars_of(frames, cfg.market_tz, cfg.universe)
     # A row per ticker, for the run's statistics.
@@ -65,6 +69,7 @@ def run_changed(spark: SparkSession, cfg: PipelineConfig, touched: DataFrame | C
     bars of that range and the 29 before it per ticker, removes days that are empty now, and then does the same for
     the months. Only the day folders of these ranges are opened.
     """
+    recover_tables(spark, cfg)
     days = sorted(_days_of(touched))
     if not days:
         return RunResult("no_data")
@@ -211,46 +216,51 @@ class _Changes:
     gone_months: set[str] = field(default_factory=set)
 
 
-def _write_refined(spark: SparkSession, cfg: PipelineConfig, refined: DataFrame) -> set[str]:
-    # The written days, a set no larger than the calendar. Unlike a count it stays right if a task runs twice.
-    seen = Observation()
-    observed = refined.observe(seen, F.collect_set(day_text(F.col(schema.SILVER_PARTITION))).alias("days"))
-    _save(cfg, observed, cfg.silver_path, schema.SILVER_PARTITION)
-    return _observed_days(seen, refined)
+def _how(cfg: PipelineConfig) -> dict:
+    return {"sort_by": ("nome_acao",), "max_records_per_file": cfg.max_records_per_file}
 
 
-def _save(cfg: PipelineConfig, df: DataFrame, path: str, partition: str) -> None:
-    save_partitioned(df, path, partition, sort_by=("nome_acao",), max_records_per_file=cfg.max_records_per_file)
+def recover_tables(spark: SparkSession, cfg: PipelineConfig) -> None:
+    """Complete what an earlier run had decided but not finished."""
+    recover(spark, cfg.silver_path, [cfg.silver_path, cfg.gold_path])
 
 
 def _publish(spark: SparkSession, cfg: PipelineConfig, refined: DataFrame, raw_rows: int, raw_tickers: int) -> RunResult:
     """Write the refined rows of a full run, their months, and the catalog."""
-    days = _write_refined(spark, cfg, refined)
+    change = Commit(spark, cfg.silver_path)
+    place, days = change.stage(refined, cfg.silver_path, schema.SILVER_PARTITION, **_how(cfg))
     changes = _Changes(days, {day[:7] + "-01" for day in days})
     if days:
         # The monthly table reads the written one: durable, and only the columns it needs.
-        source = read_partitions(spark, cfg.silver_path, cfg.features.silver_schema, schema.SILVER_PARTITION, keys=days)
-        _save(cfg, monthly(source, cfg.features), cfg.gold_path, schema.GOLD_PARTITION)
+        source = read_partitions(spark, place, cfg.features.silver_schema, schema.SILVER_PARTITION)
+        change.stage(monthly(source, cfg.features), cfg.gold_path, schema.GOLD_PARTITION, **_how(cfg))
+    change.finish()
     return _result(spark, cfg, changes, raw_rows, raw_tickers, discover=True)
 
 
 def _write_span(
     spark: SparkSession, cfg: PipelineConfig, refined: DataFrame, since: dt.date, last: dt.date, changes: _Changes
 ) -> None:
-    """Write the refined rows of ``since..last`` and the months of that range; remove what is empty now."""
-    days = _write_refined(spark, cfg, refined)
+    """Replace the refined rows of ``since..last`` and the months of that range, what is empty now included, in one change."""
+    change = Commit(spark, cfg.silver_path)
+    place, days = change.stage(refined, cfg.silver_path, schema.SILVER_PARTITION, **_how(cfg))
     stored = stored_keys(spark, cfg.silver_path, schema.SILVER_PARTITION)
     gone = {d for d in stored - days if since.isoformat() <= d <= last.isoformat()}
-    drop_keys(spark, cfg.silver_path, schema.SILVER_PARTITION, gone)
+    change.remove(cfg.silver_path, schema.SILVER_PARTITION, gone)
     first_month, last_month = since.isoformat()[:7], last.isoformat()[:7]
     kept = {d for d in (stored | days) - gone if first_month <= d[:7] <= last_month}
     months = {d[:7] + "-01" for d in kept}
     if kept:
-        source = read_folders(spark, cfg.silver_path, cfg.features.silver_schema, schema.SILVER_PARTITION, kept)
-        _save(cfg, monthly(source, cfg.features), cfg.gold_path, schema.GOLD_PARTITION)
+        # New days from where they are staged, the others of their months from the table.
+        parts = [(place, kept & days), (cfg.silver_path, kept - days)]
+        source = combine(
+            read_folders(spark, path, cfg.features.silver_schema, schema.SILVER_PARTITION, keys) for path, keys in parts if keys
+        )
+        change.stage(monthly(source, cfg.features), cfg.gold_path, schema.GOLD_PARTITION, **_how(cfg))
     old_months = stored_keys(spark, cfg.gold_path, schema.GOLD_PARTITION)
     gone_months = {m for m in old_months - months if first_month <= m[:7] <= last_month}
-    drop_keys(spark, cfg.gold_path, schema.GOLD_PARTITION, gone_months)
+    change.remove(cfg.gold_path, schema.GOLD_PARTITION, gone_months)
+    change.finish()
     changes.days |= days
     changes.months |= months
     changes.gone_days |= gone
@@ -277,16 +287,6 @@ def _result(
     )
 
 
-def _observed_days(seen: Observation, refined: DataFrame) -> set[str]:
-    try:
-        return set(seen.get["days"])
-    except Py4JJavaError:
-        # Adaptive execution drops the observation together with an empty result.
-        if refined.isEmpty():
-            return set()
-        raise
-
-
 def _register(spark: SparkSession, cfg: PipelineConfig, changes: _Changes, discover: bool) -> tuple[bool, str | None]:
     """Catalog entries; a failure is reported but does not undo the written data."""
     silver_name, gold_name = f"{cfg.database}.{cfg.silver_table}", f"{cfg.database}.{cfg.gold_table}"

@@ -31,6 +31,7 @@ from barwright.scratch import new_folder
 from barwright.sinks import catalog
 from barwright.sinks.files import is_complete, land_raw, save_partitioned
 from barwright.sources.folders import modified, stored_keys
+from barwright.sources.manifest import refresh_manifest
 from barwright.sources.raw import read_bars, scan_files
 from barwright.streaming.refresh import refresh_on_new_files
 
@@ -83,6 +84,7 @@ def _wide_landing(spark: SparkSession, sf_dir: str) -> str:
         (shape.long_to_wide(newer.where(F.col("Ticker") == tickers[-1]), tickers[-1:]), path + "/more"),
     ):
         save_partitioned(part.withColumn(schema.RAW_PARTITION, F.col("Date")), place, schema.RAW_PARTITION)
+    refresh_manifest(spark, path)
     return path
 
 

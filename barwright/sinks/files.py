@@ -24,7 +24,14 @@ _WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
 def save_partitioned(
     df: DataFrame, path: str, column: str, sort_by: tuple[str, ...] = (), max_records_per_file: int = 0
 ) -> None:
-    """Write ``<path>/<column>=YYYY-MM-DD/``; partitions absent from this run stay untouched.
+    """Write ``<path>/<column>=YYYY-MM-DD/``; partitions absent from this run stay untouched."""
+    write_partitions(df, path, column, sort_by, max_records_per_file, replace=True)
+
+
+def write_partitions(
+    df: DataFrame, path: str, column: str, sort_by: tuple[str, ...] = (), max_records_per_file: int = 0, replace: bool = False
+) -> None:
+    """Write ``<path>/<column>=YYYY-MM-DD/`` to a new folder, or in place of the days that are there.
 
     Rebalancing gives few files per day and lets adaptive execution cut a day
     that is much larger than others into several tasks.
@@ -33,11 +40,11 @@ def save_partitioned(
     writer = (
         keyed.hint("rebalance", column)
         .sortWithinPartitions(column, *sort_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
+        .write.option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(column)
     )
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     with session_conf(df.sparkSession, _WRITE_CONF):
         writer.parquet(path)
 

@@ -18,6 +18,34 @@ def _located(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+class Tree:
+    """Moves and deletions below a folder, with one file system for all of them."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._stat2Paths = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths
+        self._system, _ = _located(spark, root)
+
+    def names(self, folder: str) -> list[str]:
+        """All names in a folder, hidden ones too; empty if there is no such folder."""
+        where = self._path(folder)
+        if not self._system.exists(where):
+            return []
+        return [p.getName() for p in self._stat2Paths(self._system.listStatus(where))]
+
+    def move(self, source: str, target: str) -> None:
+        """In place of what is there. No source: nothing to do."""
+        a, b = self._path(source), self._path(target)
+        if not self._system.exists(a):
+            return
+        self._system.delete(b, True)
+        if not self._system.rename(a, b):
+            raise OSError(f"cannot move {source} to {target}")
+
+    def remove(self, path: str) -> None:
+        self._system.delete(self._path(path), True)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, without hidden ones; empty if there is no such folder."""
     system, where = _located(spark, path)
@@ -94,8 +122,3 @@ def stored_keys(spark: SparkSession, path: str, partition: str) -> set[str]:
     """Values of a written table's partition key."""
     head = partition + "="
     return {name.removeprefix(head) for name in children(spark, path) if name.startswith(head)}
-
-
-def drop_keys(spark: SparkSession, path: str, partition: str, keys: Collection[str]) -> None:
-    for key in keys:
-        delete(spark, f"{path.rstrip('/')}/{partition}={key}")

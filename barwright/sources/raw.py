@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +17,7 @@ from barwright.operators.clean import clean_bars
 from barwright.operators.filters import between_days, in_universe
 from barwright.operators.shape import combine, is_wide
 from barwright.schema import RAW_COLUMNS, RAW_PARTITION
-
-_GLOB = "*.parquet"
+from barwright.sources.manifest import FILES, file_groups, file_types, manifest_path
 
 
 def scan_files(
@@ -32,7 +28,7 @@ def scan_files(
     Works for ``<root>/YYYY-MM-DD/`` as well as ``<root>/<column>=<value>/``
     trees; directory names are not columns. No file is an error.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOB)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", FILES)
     if schema is not None:
         reader = reader.schema(schema)
     with session_conf(spark, listing_conf(spark)):
@@ -47,18 +43,23 @@ def raw_frames(
 ) -> list[DataFrame]:
     """The raw files as few frames as their column types allow, normally one.
 
-    Files may have different columns: Spark merges their footers in a
-    distributed job. Only if a column has different types (a volume that is
-    bigint in one file and double in another) are the files grouped by type.
+    Files may have different columns. Their types come from the manifest, and from the footers of files that it
+    lacks; Spark merges the schemas of one file per combination of types. Only if a column has different types (a volume that
+    is bigint in one file and double in another) are there several frames.
     """
+    whole = [paths] if isinstance(paths, str) else list(paths)
     if schema is not None:
-        return [scan_files(spark, paths, schema, merge=False)]
-    try:
-        return [scan_files(spark, paths)]
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
-            raise
-    return [scan_files(spark, group) for group in group_by_types(footer_types(spark, paths))]
+        return [scan_files(spark, whole, schema, merge=False)]
+    roots = {paths} if isinstance(paths, str) else {p.rstrip("/").rpartition("/")[0] for p in whole}  # of day folders
+    manifest = manifest_path(roots.pop()) if len(roots) == 1 else None
+    groups = file_groups(file_types(spark, whole, manifest), whole)
+    if not groups:
+        return [scan_files(spark, whole)]  # says that there are no files
+    return [scan_files(spark, g.paths, _read_schema(spark, g.samples), merge=False) for g in groups]
+
+
+def _read_schema(spark: SparkSession, samples: Sequence[str]) -> T.StructType:
+    return spark.read.option("mergeSchema", "true").parquet(*samples).schema
 
 
 @dataclass(frozen=True)
@@ -115,58 +116,3 @@ def touched_days(
         day = to_day(F.col("Date"), df.schema["Date"].dataType, market_tz)
         out |= {r[0] for r in df.select(day.alias("d")).distinct().where("d is not null").collect()}
     return out
-
-
-def footer_types(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Path and column types of each raw file. The footers are read in tasks."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOB)
-    with session_conf(spark, listing_conf(spark)):
-        listing = reader.load([paths] if isinstance(paths, str) else list(paths)).select("path")
-    return listing.mapInPandas(_read_footers, "path string, types map<string,string>")
-
-
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        types = []
-        for path in batch["path"]:
-            uri = path.replace("s3a://", "s3://", 1)
-            system, name = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if "://" not in uri else uri)
-            types.append({f.name: str(f.type) for f in pq.read_schema(name, filesystem=system)})
-        yield pd.DataFrame({"path": batch["path"], "types": types})
-
-
-def group_by_types(files: DataFrame) -> list[list[str]]:
-    """Partition files so that within a group every column has one type; columns may still differ.
-
-    Only the columns with more than one type matter. What is collected is their
-    distinct combinations, and the file names that the reader is given next.
-    """
-    files = files.persist()
-    try:
-        kinds = files.select(F.explode("types").alias("column", "kind")).distinct()
-        conflicts = sorted(r["column"] for r in kinds.groupBy("column").count().where("count > 1").collect())
-        combination = F.array(*[F.col("types")[c] for c in conflicts]).cast("array<string>")
-        keyed = files.select("path", combination.alias("kinds")).withColumn("key", F.xxhash64("kinds"))
-        combinations = {r["key"]: tuple(r["kinds"]) for r in keyed.select("key", "kinds").distinct().collect()}
-        paths = [(r["path"], r["key"]) for r in keyed.select("path", "key").collect()]
-    finally:
-        files.unpersist()
-    # A file without the column fits any type of it; the most definite combinations come first.
-    merged: list[tuple] = []
-    group_of: dict[int, int] = {}
-    for key, kinds in sorted(combinations.items(), key=lambda item: (item[1].count(None), str(item[1]))):
-        fits = (
-            k for k, other in enumerate(merged) if all(a == b or None in (a, b) for a, b in zip(kinds, other))
-        )
-        k = next(fits, len(merged))
-        if k == len(merged):
-            merged.append(kinds)
-        merged[k] = tuple(a or b for a, b in zip(kinds, merged[k]))
-        group_of[key] = k
-    groups: list[list[str]] = [[] for _ in merged]
-    for path, key in sorted(paths):
-        groups[group_of[key]].append(path)
-    return groups

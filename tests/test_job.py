@@ -14,6 +14,7 @@ from barwright.plans.job import run, run_changed
 from barwright.schema import GOLD_SCHEMA, RAW_COLUMNS, SILVER_SCHEMA
 from barwright.sinks import catalog
 from barwright.sinks.files import land_raw, save_partitioned
+from barwright.sources.folders import Tree
 from barwright.sources.raw import read_bars
 from barwright.sources.tables import read_partitions
 from barwright.streaming.refresh import refresh_on_new_files
@@ -263,6 +264,55 @@ def test_withdrawn_bars(spark, folder):
     assert not any(r[1] == "gone" for table in stored(spark, cfg) for r in table)
 
 
+@pytest.mark.parametrize("dies_at", ["log", "first move", "removal", "cleanup"])
+def test_a_run_that_dies_is_completed_by_the_next(spark, folder, monkeypatch, dies_at):
+    """Days written and days removed take effect together, wherever the writer stops."""
+    cfg, fresh = config(folder, "step", register=False), config(folder, "fresh", register=False)
+    b, gone = series("B", 40, start=300), series("GONE", 40, start=310)
+    land_raw(spark.createDataFrame(series("A", 40) + b + gone, BARS), f"{folder}/raw")
+    run(spark, cfg)
+    before = stored(spark, cfg)
+    assert str(day(349)) in {r[0] for r in before[0]}
+    withdrawn = [(*bar[:5], None, bar[6]) for bar in gone]
+    changed = [(*bar[:5], 50.0 if bar[0] >= day(335) else bar[5], bar[6]) for bar in b if bar[0] >= day(310)]
+    land_raw(spark.createDataFrame(withdrawn + changed, BARS), f"{folder}/raw")
+    days = sorted({bar[0] for bar in withdrawn})
+    run(spark, fresh)
+
+    class Killed(Exception):
+        pass
+
+    move, remove, seen = Tree.move, Tree.remove, []
+
+    def dying_move(self, source, target):
+        if dies_at == "log" and source.endswith(".new"):
+            raise Killed
+        if dies_at == "first move" and "_staged-" in source and seen:
+            raise Killed
+        seen.append(source)
+        move(self, source, target)
+
+    def dying_remove(self, path):
+        if dies_at == "removal" and "=" in path or dies_at == "cleanup" and path.endswith(".json"):
+            raise Killed
+        remove(self, path)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Tree, "move", dying_move)
+        patched.setattr(Tree, "remove", dying_remove)
+        with pytest.raises(Killed):
+            run_changed(spark, cfg, days)
+    if dies_at == "log":  # not decided: nothing has changed
+        assert stored(spark, cfg) == before
+        run_changed(spark, cfg, days)
+    else:  # decided: the next call completes it, without the days being named again
+        assert run_changed(spark, cfg, []).status == "no_data"
+    assert stored(spark, cfg) == stored(spark, fresh)
+    for table in (cfg.silver_path, cfg.gold_path):
+        assert not [n for n in os.listdir(table) if n.startswith("_staged-")]
+    assert os.listdir(f"{cfg.silver_path}/_commits") == []
+
+
 def test_a_refresh_opens_only_the_folders_of_its_range(spark, folder, monkeypatch):
     from barwright.plans import job
 

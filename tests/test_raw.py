@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pandas as pd
 import pyarrow as pa
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 from barwright.operators import shape
 from barwright.operators.filters import between_days, day_before, in_universe, lookback
-from barwright.schema import RAW_COLUMNS, RAW_LONG_SCHEMA
-from barwright.sinks.files import land_raw
-from barwright.sources.raw import group_by_types, raw_frames, read_bars, scan_files
+from barwright.schema import RAW_COLUMNS, RAW_LONG_SCHEMA, RAW_PARTITION
+from barwright.sinks.files import land_raw, save_partitioned
+from barwright.sources import manifest
+from barwright.sources.manifest import manifest_path, refresh_manifest, types_to_groups
+from barwright.sources.raw import raw_frames, read_bars, scan_files
 
 
 def write(folder, name, data, unit="us", tz=None, **columns):
@@ -20,8 +23,6 @@ def write(folder, name, data, unit="us", tz=None, **columns):
     if tz:
         pdf["Date"] = pdf["Date"].dt.tz_localize(tz)
     path = f"{folder}/{name}"
-    import os
-
     os.makedirs(path, exist_ok=True)
     pq.write_table(pa.Table.from_pandas(pdf, preserve_index=False), f"{path}/data.parquet")
 
@@ -61,31 +62,89 @@ def test_extra_columns_are_carried(spark, folder):
     assert df.where("Dividends IS NULL").count() == 2
 
 
-def test_wide_files_with_different_columns_and_types(spark, folder):
+def foreign(frame, path):
+    """As other producers write: with the types that the frame has."""
+    save_partitioned(frame.withColumn(RAW_PARTITION, F.col("Date")), path, RAW_PARTITION)
+
+
+def mixed_tree(spark, root):
+    """Wide files with different columns, volumes as double and as bigint, one folder with both, and long files."""
     a, b, c = series("A.SA", 6), series("B.SA", 6), series("C", 3, start=20)
     first = spark.createDataFrame(a[:3] + b[:3], BARS).withColumn("Volume", F.col("Volume").cast("double"))
-    land_raw(shape.long_to_wide(first, ["A.SA", "B.SA"]), f"{folder}/raw")
-    land_raw(shape.long_to_wide(spark.createDataFrame(a[3:], BARS), ["A.SA"]), f"{folder}/raw")
-    land_raw(shape.long_to_wide(spark.createDataFrame(b[3:], BARS), ["B.SA"]), f"{folder}/raw/later")
-    land_raw(spark.createDataFrame(c, BARS).withColumn("extra", F.lit(1)), f"{folder}/raw/long")
-    frames = raw_frames(spark, f"{folder}/raw")
-    assert len(frames) == 2
-    assert rows(read_bars(spark, f"{folder}/raw")) == rows(spark.createDataFrame(a + b + c, BARS))
+    foreign(shape.long_to_wide(first, ["A.SA", "B.SA"]), f"{root}/older")
+    foreign(shape.long_to_wide(spark.createDataFrame(a[3:], BARS), ["A.SA"]), f"{root}/newer")
+    foreign(shape.long_to_wide(spark.createDataFrame(b[3:], BARS), ["B.SA"]), f"{root}/later")
+    foreign(spark.createDataFrame(c, BARS).withColumn("extra", F.lit(1)), f"{root}/long")
+    moved = f"{root}/older/{RAW_PARTITION}={day(1)}"
+    name = next(n for n in os.listdir(moved) if n.endswith(".parquet"))
+    os.rename(f"{moved}/{name}", f"{root}/newer/{RAW_PARTITION}={day(4)}/moved.parquet")
+    return rows(spark.createDataFrame(a + b + c, BARS))
 
 
-def test_group_by_types(spark):
-    files = [
-        ("1", {"Date": "d", "V_A": "double"}),
-        ("2", {"Date": "d", "V_A": "int64", "V_B": "int64"}),
-        ("3", {"Date": "d", "V_B": "int64"}),
-        ("4", {"Date": "d", "V_A": "double", "V_C": "int64"}),
-    ]
+def test_wide_files_with_different_columns_and_types(spark, folder):
+    expected = mixed_tree(spark, f"{folder}/raw")
+    frames = raw_frames(spark, f"{folder}/raw")
+    assert len(frames) == 2
+    assert rows(read_bars(spark, f"{folder}/raw")) == expected
+
+
+def test_manifest_knows_the_files(spark, folder):
+    root = f"{folder}/raw"
+    expected = mixed_tree(spark, root)
+    before = refresh_manifest(spark, root)
+    n = before.count()
+    assert n == spark.read.parquet(manifest_path(root)).count()
+    # Known files are not opened again: broken ones are listed with the types they had.
+    path = before.where(F.col("path").contains("long")).first()["path"].removeprefix("file:")
+    stat, body = os.stat(path), open(path, "rb").read()
+    with open(path, "wb") as file:
+        file.write(b"x" * len(body))
+    os.utime(path, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert rows(refresh_manifest(spark, root), "path") == rows(before, "path")
+    with open(path, "wb") as file:
+        file.write(body)
+    os.utime(path, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert rows(read_bars(spark, root)) == expected
+
+
+def test_manifest_follows_landings(spark, folder):
+    root = f"{folder}/raw"
+    data = series("A", 6)
+    land_raw(spark.createDataFrame(data, BARS), root)
+    refresh_manifest(spark, root)
+    foreign(spark.createDataFrame([(*data[1][:6], 5)], BARS).withColumn("Volume", F.lit(5.0)), root)
+    assert len(raw_frames(spark, root)) == 2  # the new file's footer is read, the others' are known
+    refresh_manifest(spark, root)
+    assert spark.read.parquet(manifest_path(root)).count() == 7
+    for _ in range(3):  # stale rows go when they are the most
+        land_raw(spark.createDataFrame(data, BARS), root)
+        files = refresh_manifest(spark, root).count()
+        assert files <= spark.read.parquet(manifest_path(root)).count() <= 2 * files + 7
+    assert len(raw_frames(spark, root)) == 1
+    assert rows(read_bars(spark, root)) == rows(spark.createDataFrame(data, BARS))
+
+
+def test_files_that_only_hadoop_opens(spark, folder, monkeypatch):
+    expected = mixed_tree(spark, f"{folder}/raw")
+    monkeypatch.setattr(manifest, "_reachable", lambda path: False)
+    assert rows(read_bars(spark, f"{folder}/raw")) == expected
+
+
+def test_types_to_groups():
+    files = {
+        1: {"Date": "d", "V_A": "double"},
+        2: {"Date": "d", "V_A": "int64", "V_B": "int64"},
+        3: {"Date": "d", "V_B": "int64"},
+        4: {"Date": "d", "V_A": "double", "V_C": "int64"},
+    }
 
     def groups(chosen):
-        return group_by_types(spark.createDataFrame(chosen, "path string, types map<string,string>"))
+        group_of = types_to_groups(chosen)
+        return sorted(sorted(k for k in group_of if group_of[k] == g) for g in set(group_of.values()))
 
-    assert groups(files) == [["1", "3", "4"], ["2"]]
-    assert groups([f for f in files if f[0] != "2"]) == [["1", "3", "4"]]
+    assert groups(files) == [[1, 3, 4], [2]]
+    assert groups({k: f for k, f in files.items() if k != 2}) == [[1, 3, 4]]
+    assert types_to_groups({}) == {}
 
 
 def test_known_schema_needs_no_footers(spark, folder):
