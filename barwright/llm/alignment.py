@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import durable, named, worker_slot, written
+from barwright.llm.common import durable, named, worker_cache, written
 
 #: Most pairs in the broadcast table; pieces in each half of a worker's cache, and the longest piece kept in it, in characters.
 TABLE, CACHED, CACHED_CHARS = 131_072, 150_000, 48
@@ -225,10 +225,10 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, id_column: str = "doc_id"
     with open(b_file, "rb") as file:
         model = file.read()
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, model))  # the vocabularies
-    name = uuid.uuid4().hex
+    name = f"alignment-{uuid.uuid4().hex}"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = worker_slot("alignment", name, lambda: Aligner(*sent.value))
+        aligner = worker_cache(name, lambda: Aligner(*sent.value), most=1)
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             for at in range(0, batch.num_rows, 128):

@@ -34,23 +34,23 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def worker_cache(name: str, make: Callable[[], object]) -> object:
-    """An object built once per Python worker and kept between its tasks."""
-    home = sys.modules.setdefault("_barwright_worker", types.ModuleType("_barwright_worker"))
-    kept = home.__dict__.setdefault("kept", {})
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
-
-
-def worker_slot(slot: str, name: str, make: Callable[[], object]) -> object:
-    """Like worker_cache, but the worker keeps one object per slot: one of another name takes its place, so that long-lived workers
-    do not pile up what earlier jobs needed."""
-    slots = worker_cache("slots", dict)
-    if slot not in slots or slots[slot][0] != name:
-        slots.pop(slot, None)
-        slots[slot] = (name, make())
-    return slots[slot][1]
+def worker_cache(name: str, make: Callable[[], object], most: int = 4) -> object:
+    """An object built once per Python worker and kept between its tasks.
+
+    Workers outlive jobs, so what they keep is bounded: names have the form `family-rest`, a call for another family drops all
+    that is there, and a family keeps its `most` latest objects."""
+    home = sys.modules.setdefault("_barwright_worker", types.ModuleType("_barwright_worker")).__dict__
+    family = name.partition("-")[0]
+    if home.get("family") != family:
+        home["family"], home["kept"] = family, {}
+    kept = home["kept"]
+    if name in kept:
+        kept[name] = kept.pop(name)  # the latest is last
+        return kept[name]
+    while len(kept) >= most:
+        del kept[next(iter(kept))]
+    kept[name] = made = make()
+    return made
 
 
 def fresh(frame: DataFrame, *bases: str) -> list[str]:

@@ -207,7 +207,7 @@ def quality_column(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LAB
     rows = known.select("quality", _feature_column(vectors, F.col("text")).alias("x")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(-1, N_FEATURES)
     net = spark.sparkContext.broadcast(Net(x, np.array([r["quality"] for r in rows], np.float64)).__dict__)
-    name = f"net-{uuid.uuid4().hex}"
+    name = f"quality-{uuid.uuid4().hex}"
 
     def restored() -> Net:
         out = Net.__new__(Net)

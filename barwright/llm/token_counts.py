@@ -93,7 +93,7 @@ def token_column(docs: DataFrame, tokenizer_file: str, text: str = "text"):
     name = f"pieces-{uuid.uuid4().hex}"
 
     def count(column: pa.Array) -> pa.Array:
-        lengths = worker_cache(name, lambda: PieceLengths(_loaded(sent.value[0]), sent.value[1]))
+        lengths = worker_cache(name, lambda: PieceLengths(_loaded(sent.value[0]), sent.value[1]), most=1)
         texts, out = texts_of(column), []
         for i in range(0, len(texts), 256):
             out += lengths.counts(texts[i : i + 256])
