@@ -30,7 +30,9 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 #: Kind and pattern; where several match at one place, the first counts.
 PATTERNS = {
-    "EMAIL": r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    # The local part begins where its run of characters begins, so that a long run is looked at once, or right behind an entity.
+    # Domain names have at most 127 labels.
+    "EMAIL": r"(?:(?<![._%+-])|(?<=\G[._%+-]))[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+){0,126}\.\p{L}{2,}",
     "SECRET": r"(?=[A-Za-z0-9_/+-]{16})(?<=(?:token|secret|passwd|password|api_key|apikey) {0,2}[=:] {0,2}[\"']{0,1})[A-Za-z0-9_/+-]{16,}+"
     r"|(?:[0-9a-f]{40}|(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
     "IP": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
