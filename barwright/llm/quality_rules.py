@@ -1,12 +1,14 @@
 """Quality rules whose cutoffs are certified on labelled holdouts.
 
-Each rule rejects a document whose measure is at or above a cutoff. For every stratum and rule a fixed ladder of cutoffs is
-walked from lenient to strict. A cutoff is certified if, among the labelled good documents of the stratum, so few would be
-rejected that a true rejection rate above `risk / number of rules` is refuted by the exact binomial test at level
-`delta / (strata x rules)`; the walk ends at the first cutoff that fails (fixed-sequence testing needs no further
-correction), and the strictest certified cutoff is used. Together: with probability 1 - delta no stratum loses more than
-the share `risk` of its good documents to the rules. A stratum with too few labels for a certificate of its own has no cutoffs:
-the base rule alone decides there, since cutoffs of other strata or of all labels together promise nothing about it.
+Each rule rejects a document whose measure is above a cutoff; all rules of a stratum move together on one ladder. Step k puts every
+rule's cutoff where a given share of the stratum's documents lies above it, from lenient to strict. These quantiles are taken over all
+documents but the labelled ones that the test below uses, so the ladder does not know them. A step is certified if, among the labelled
+good documents of the stratum, so few would be rejected by any rule that a true rejection rate above `risk` is refuted by the exact
+binomial test at the stratum's level; the walk ends at the first step that fails (fixed-sequence testing needs no further
+correction), and the strictest certified step is used. Levels are corrected over strata by Holm's rule in its sequential form: every
+stratum starts with `delta / strata`, and one that is certified to the end of its ladder hands its level on to the others. Together:
+with probability 1 - delta no stratum loses more than the share `risk` of its good documents to the rules. A stratum with too few
+labels for any certificate has no cutoffs and takes no part in the correction: the base rule alone decides there.
 
 Defined results: null texts have no words and fail the base rule. A null stratum counts as the empty one.
 Labels of one document that disagree, and null ones, are not used. Without labels no rule is certified and the base rule
@@ -34,8 +36,8 @@ _NOT_LETTERS = bytes(c for c in range(256) if c not in _LETTERS)
 _NOT_UPPER = bytes(c for c in range(256) if c not in _UPPER)
 
 MEASURES = ("symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share", "same_word_share")
-#: Cutoffs from lenient to strict, the same for every measure.
-LADDER = tuple(round(0.96 - 0.02 * k, 2) for k in range(48))
+#: The steps of the ladder: shares of documents above a rule's cutoff, from lenient to strict, by a quarter more each.
+LADDER = tuple(round(0.0005 * 1.25**k, 6) for k in range(28))
 #: Above every measure: rejects nothing.
 NO_CUTOFF = 9.0
 
@@ -99,31 +101,60 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(t - top) for t in terms))
 
 
-def strictest(rejected: list[int], n: int, rate: float, level: float) -> float | None:
-    """The last cutoff of the ladder reached by certified steps; rejected: good documents at or above each cutoff."""
+def strictest(rejected: list[int], n: int, rate: float, level: float) -> int | None:
+    """The last step of the ladder reached by certified steps; rejected: good documents that each step rejects."""
     best = None
-    for cutoff, k in zip(LADDER, rejected):
+    for step, k in enumerate(rejected):
         if k > rate * n or binomial_tail(k, n, rate) > level:
             break
-        best = cutoff
+        best = step
     return best
 
 
-def certified_cutoffs(good: DataFrame, risk: float, delta: float) -> list[tuple[str, str, float]]:
-    """(stratum, measure, cutoff) of the strata with enough labels. good: stratum and measures of good documents."""
-    least = math.log(1 / delta) / -math.log1p(-risk / len(MEASURES))  # fewer labels certify nothing
-    counts = [
-        F.count_if(F.col(m) >= c).alias(f"{m}_{k}") for m in MEASURES for k, c in enumerate(LADDER)
-    ]
-    strata = good.groupBy("stratum").agg(F.count("*").alias("n"), *counts).where(F.col("n") >= least)
-    rows = strata.collect()  # at most one row per `least` labels
-    level = delta / (max(1, len(rows)) * len(MEASURES))
-    out = []
-    for row in rows:
-        for m in MEASURES:
-            c = strictest([row[f"{m}_{k}"] for k in range(len(LADDER))], row["n"], risk / len(MEASURES), level)
-            out.append((row["stratum"], m, NO_CUTOFF if c is None else c))
-    return out
+def certified_steps(rejected: dict[str, list[int]], n: dict[str, int], risk: float, delta: float) -> dict[str, int | None]:
+    """The step of every stratum that takes part; rejected and n: labelled good documents, rejected by step and all."""
+    by_size = sorted(n, key=lambda s: (-n[s], s))
+    able = lambda k: n[by_size[k - 1]] >= math.log(k / delta) / -math.log1p(-risk)
+    taking = by_size[: max((k for k in range(1, len(by_size) + 1) if able(k)), default=0)]
+    level = {s: delta / len(taking) for s in taking}
+    done: set[str] = set()
+    while True:
+        steps = {s: strictest(rejected[s], n[s], risk, level[s]) for s in taking}
+        ended = [s for s in taking if s not in done and steps[s] == len(rejected[s]) - 1]
+        left = [s for s in taking if s not in done and s not in ended]
+        if not ended or not left:
+            return steps
+        for s in left:
+            level[s] += sum(level[e] for e in ended) / len(left)
+        done |= set(ended)
+
+
+def certified_cutoffs(good: DataFrame, others: DataFrame, risk: float, delta: float) -> list[tuple[str, list[float]]]:
+    """(stratum, cutoff of every measure) of the strata with enough labels. good: stratum and measures of labelled good documents;
+    others: those of the documents that the ladder may know."""
+    least = math.log(1 / delta) / -math.log1p(-risk)  # fewer labels certify nothing
+    counts = good.groupBy("stratum").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    n = {r["stratum"]: r["n"] for r in counts.collect()}  # at most one row per `least` labels
+    if not n:
+        return []
+    shares = F.array(*[F.lit(1 - x) for x in LADDER])
+    strata = good.sparkSession.createDataFrame([(s,) for s in n], "stratum string")
+    ladders = others.join(F.broadcast(strata), "stratum").groupBy("stratum")
+    ladders = ladders.agg(*[F.percentile_approx(m, shares, 10_000).alias(f"ladder_{m}") for m in MEASURES])
+    ladder = {r["stratum"]: [r[f"ladder_{m}"] for m in MEASURES] for r in ladders.collect()}
+    known = good.sparkSession.createDataFrame(
+        [(s, *cuts) for s, cuts in ladder.items()], "stratum string, " + ", ".join(f"ladder_{m} array<double>" for m in MEASURES)
+    )
+    # The first step that rejects the document: cutoffs only fall from step to step.
+    lenient = lambda m: F.size(F.filter(f"ladder_{m}", lambda c: c >= F.col(m)))
+    steps = [lenient(m) for m in MEASURES]
+    first = good.join(F.broadcast(known), "stratum").select("stratum", F.least(*steps).alias("step"))
+    rejected = {s: [0] * len(LADDER) for s in ladder}
+    for r in first.groupBy("stratum", "step").agg(F.count("*").alias("n")).collect():
+        for k in range(r["step"], len(LADDER)):
+            rejected[r["stratum"]][k] += r["n"]
+    found = certified_steps(rejected, {s: n[s] for s in ladder}, risk, delta)
+    return [(s, [cuts[k] for cuts in ladder[s]]) for s, k in found.items() if k is not None]
 
 
 def measured(docs: DataFrame, stratum: Column) -> DataFrame:
@@ -149,19 +180,17 @@ def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: f
         .where((F.col("least") == 1) & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
         .select("doc_id")
     )
-    good = rows.where(~base_failed()).join(agreed, "doc_id", "left_semi").select("stratum", *MEASURES)
-    cutoffs = certified_cutoffs(good, risk, delta)
-    by_stratum: dict[str, dict[str, float]] = {}
-    for s, m, c in cutoffs:
-        by_stratum.setdefault(s, {})[m] = c
+    passed = rows.where(~base_failed())
+    good = passed.join(agreed, "doc_id", "left_semi").select("stratum", *MEASURES)
+    others = passed.join(agreed, "doc_id", "left_anti").select("stratum", *MEASURES)
     limits = spark.createDataFrame(
-        [(s, *[c[m] for m in MEASURES]) for s, c in by_stratum.items()],
+        [(s, *cuts) for s, cuts in certified_cutoffs(good, others, risk, delta)],
         "stratum string, " + ", ".join(f"limit_{m} double" for m in MEASURES),
     )
     judged = rows.join(F.broadcast(limits), "stratum", "left")  # a row per certified stratum
     rejected = F.lit(False)
     for m in MEASURES:
-        rejected |= F.col(m) >= F.coalesce(f"limit_{m}", F.lit(NO_CUTOFF))
+        rejected |= F.col(m) > F.coalesce(f"limit_{m}", F.lit(NO_CUTOFF))
     return judged.select(
         "doc_id",
         "n_words",
