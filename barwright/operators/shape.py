@@ -45,15 +45,17 @@ def wide_tickers(columns: Iterable[str]) -> list[str]:
 
 
 def whole_volume(volume: Column, kind: T.DataType) -> Column:
-    """Volume as bigint. NaN is a value and becomes 0, so that its bar stays; what does not fit raises."""
-    if not isinstance(kind, (T.DoubleType, T.FloatType)):
-        return volume.try_cast("bigint")
-    too_large = F.raise_error(F.concat(F.lit("volume beyond bigint: "), volume.cast("string"))).cast("bigint")
-    return (
-        F.when(F.isnan(volume), F.lit(0).cast("bigint"))
-        .when(F.abs(volume) >= float(1 << 63), too_large)
-        .otherwise(volume.cast("bigint"))
-    )
+    """Volume as bigint, fractions cut off. A volume that is there but has no whole value (NaN, out of range, text that is no
+    number) is an error: neither a made-up volume nor a bar that is missing without notice."""
+    if isinstance(kind, T.StringType):
+        whole = volume.try_cast("decimal(38,8)").try_cast("bigint")
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        # The greatest bigint has no double of its own; a cast would turn 2^63 into it.
+        whole = F.when(F.abs(volume) < float(1 << 63), volume.try_cast("bigint"))
+    else:
+        whole = volume.try_cast("bigint")
+    unfit = F.raise_error(F.concat(F.lit("volume beyond bigint or no number: "), volume.cast("string"))).cast("bigint")
+    return F.when(volume.isNotNull(), F.when(whole.isNull(), unfit).otherwise(whole))
 
 
 def wide_to_long(df: DataFrame, present_only: bool = False) -> DataFrame:

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from conftest import BARS, day, rows, series
 from pyspark.sql import functions as F
@@ -80,12 +82,26 @@ def test_clean_names_absent_columns(spark):
         clean_bars(spark.createDataFrame([], BARS).drop("Volume"))
 
 
-def test_a_nan_volume_keeps_its_bar_and_a_huge_one_is_an_error(spark):
-    kinds = BARS.replace("Volume bigint", "Volume double")
-    found = clean_bars(spark.createDataFrame([(day(0), "A", 1.0, 1.0, 1.0, 1.0, float("nan"))], kinds))
-    assert [r["Volume"] for r in found.collect()] == [0]
-    with pytest.raises(Exception, match="volume beyond bigint"):
-        clean_bars(spark.createDataFrame([(day(0), "A", 1.0, 1.0, 1.0, 1.0, 1e30)], kinds)).collect()
+@pytest.mark.parametrize(
+    "kind, good, whole, bad",
+    [
+        ("double", [0.0, 12.9, -3.0, 9.0e18], [0, 12, -3, 9 * 10**18], [float("nan"), float("inf"), 1e30, 2.0**63, -1e30]),
+        ("float", [5.5], [5], [float("nan"), 1e30]),
+        ("decimal(38,2)", [Decimal("12.99"), Decimal(2**63 - 1)], [12, 2**63 - 1], [Decimal(2**63), Decimal("1e30")]),
+        ("string", ["12", " 12.9", "1e5", str(2**63 - 1)], [12, 12, 100_000, 2**63 - 1], ["NaN", "many", "", str(2**63), "1e40"]),
+    ],
+)
+def test_volumes_are_whole_or_an_error(spark, kind, good, whole, bad):
+    kinds = BARS.replace("Volume bigint", f"Volume {kind}")
+
+    def volumes(values):
+        data = [(day(k), "A", 1.0, 1.0, 1.0, 1.0, v) for k, v in enumerate(values)]
+        return [r["Volume"] for r in clean_bars(spark.createDataFrame(data, kinds)).orderBy("Date").collect()]
+
+    assert volumes([*good, None]) == [*whole, None]
+    for value in bad:
+        with pytest.raises(Exception, match="volume beyond bigint or no number"):
+            volumes([value])
 
 
 def test_any_price_and_order_key_makes_a_bar(spark):
