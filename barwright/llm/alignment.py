@@ -17,11 +17,13 @@ documents of their own. Null ids are allowed. An empty table gives no rows. Extr
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 from itertools import accumulate
 
@@ -34,6 +36,8 @@ from barwright.llm.common import durable, named, worker_cache, written
 
 #: Most pairs in the broadcast table; pieces in each half of a worker's cache, and the longest piece kept in it, in characters.
 TABLE, CACHED, CACHED_CHARS = 131_072, 150_000, 48
+#: Texts that are taken together.
+_TEXTS = 256
 #: Bits of the second id in a pair's key.
 _LOW = 20
 _SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0  -     　"
@@ -147,6 +151,9 @@ class Aligner:
         a_ends = list(accumulate([self.a_size[x] for x in a]))
         if a_ends[-1] != len(body):
             return None
+        if len(a) == 1 or len(b) == 1:  # the end of the piece is the only common one
+            said = ",".join(map(str, a)) + "|" + ",".join(map(str, b))
+            return len(a), len(b), 1, len(a) * len(b), said.encode(), tuple([x << _LOW | y for x in a for y in b])
         cut = groups(a_ends, list(accumulate([self.b_size[x] for x in b])))
         text, keys = [], []
         for a0, a1, b0, b1 in cut:
@@ -209,6 +216,16 @@ class Aligner:
         return out
 
 
+@contextmanager
+def _no_collection() -> Iterator[None]:
+    """Hundreds of thousands of small tuples come and go here, none of them in a cycle: the collector would only count them."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.empty(0, np.int64)])))
@@ -231,13 +248,14 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, id_column: str = "doc_id"
         aligner = worker_cache(name, lambda: Aligner(*sent.value), most=1)
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            for at in range(0, batch.num_rows, 128):
-                found = aligner.rows(texts.slice(at, 128).to_pylist())
+            for at in range(0, batch.num_rows, _TEXTS):
+                with _no_collection():
+                    found = aligner.rows(texts.slice(at, _TEXTS).to_pylist())
                 columns = [pa.array([r[k] for r in found], pa.int64()) for k in range(4)]
                 digest = pa.array([r[4] for r in found], pa.string())
                 lists = [_lists([r[k] for r in found]) for k in (5, 6)]
                 yield pa.record_batch(
-                    [batch.column(0).slice(at, 128).cast(pa.int64()), *columns, digest, *lists],
+                    [batch.column(0).slice(at, _TEXTS).cast(pa.int64()), *columns, digest, *lists],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
                 )
 
