@@ -320,7 +320,11 @@ def table_latest_days(spark, sf_dir):
 
 
 def table_since_topn(spark, sf_dir):
-    return serve.newest_since(_silver_table(spark, _once(_lake, spark, sf_dir)), SINCE)
+    """Only the newest days that hold ten rows are opened."""
+    cfg = _once(_lake, spark, sf_dir)
+    bound = serve.newest_bound(spark, cfg.silver_path, schema.SILVER_SCHEMA, schema.SILVER_PARTITION, SINCE)
+    newest = _silver_table(spark, cfg).where(F.col(schema.SILVER_PARTITION) >= bound.isoformat())
+    return serve.newest_since(newest, SINCE)
 
 
 def table_ticker_since(spark, sf_dir):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barwright.sources.tables import day_bound
+from barwright.sources.folders import stored_keys
+from barwright.sources.tables import day_bound, read_folders
 
 
 def _newest(df: DataFrame, *first) -> list:
@@ -38,6 +40,24 @@ def newest_since(silver: DataFrame, since: dt.date, n: int = 10) -> DataFrame:
     return rows.orderBy(*_newest(rows, F.desc("data_pregao"))).limit(n)
 
 
+def newest_bound(
+    spark: SparkSession, path: str, stored: T.StructType, partition: str, since: dt.date, n: int = 10
+) -> dt.date:
+    """The day from which on a written table has ``n`` rows, not before ``since``: an early stop for ``newest_since``.
+
+    Days are opened newest first, twice as many each time, and only counted, until they hold ``n`` rows. All rows of the last
+    opened days count, so the order of rows that tie stays total."""
+    days = sorted((k for k in stored_keys(spark, path, partition) if k >= since.isoformat()), reverse=True)
+    found, at, step = 0, 0, 1
+    while at < len(days):
+        opened = days[at : at + step]
+        found += read_folders(spark, path, stored, partition, opened).limit(n - found).count()
+        if found >= n:
+            return dt.date.fromisoformat(opened[-1])
+        at, step = at + step, 2 * step
+    return since
+
+
 def ticker_since(silver: DataFrame, ticker: str, since: dt.date, n: int = 10) -> DataFrame:
     """The first ``n`` full rows of a ticker from ``since`` on."""
     day = day_bound(silver, "data_pregao", since)

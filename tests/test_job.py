@@ -384,3 +384,26 @@ def test_top_rows_do_not_depend_on_the_partitions(spark):
     )
     for ask in asks:
         assert len({str(ask(refined.repartition(n)).collect()) for n in (1, 2, 5, 9)}) == 1
+
+
+def test_the_newest_rows_open_few_days(spark, folder):
+    rng = random.Random(3)
+    data = [(day(k), f"T{t}", *[float(k + t)] * 5, t) for k in range(30) for t in range(rng.choice([0, 1, 2, 5]))]
+    per_day = spark.createDataFrame(data, "data_pregao date, nome_acao string, a double, b double, c double, d double, fechamento double, x int")
+    per_day = per_day.select("data_pregao", "nome_acao", "fechamento", F.col("a").alias("media_movel_7d"))
+    path = f"{folder}/table"
+    save_partitioned(per_day, path, "data_pregao")
+    whole = read_partitions(spark, path, per_day.schema, "data_pregao")
+    for since in (day(0), day(20), day(28), day(99)):
+        for n in (1, 3, 10, 1000):
+            bound = serve.newest_bound(spark, path, per_day.schema, "data_pregao", since, n)
+            later = [d for d, *_ in data if d >= bound]
+            assert bound >= since
+            if len(later) >= n:
+                present = sorted({d for d in later}, reverse=True)
+                least = next(k for k in range(1, len(present) + 1) if sum(d >= present[k - 1] for d in later) >= n)
+                assert len(present) <= 2 * least + 1
+            else:
+                assert bound == since
+            few = serve.newest_since(whole.where(F.col("data_pregao") >= bound), since, n)
+            assert [tuple(r) for r in few.collect()] == [tuple(r) for r in serve.newest_since(whole, since, n).collect()]
