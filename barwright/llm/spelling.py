@@ -2,13 +2,17 @@
 
 The trie of all words is an edge table: a node is a prefix, an edge (node, label) leads to the node with one more character, the empty
 label marks the end of a word. A state (word, position, node, edits) says that the word's first `position` characters lead to the node
-with so many edits. All words start at the root without edits, and level by level the frontier is joined with the edges of its depth:
+with so many edits. Level by level the frontier is joined with the edges of its depth:
 
 * without edits: along the word's own next character; to every greater sibling of it (a replacement); past the character without
   leaving the node (a deletion). Insertions and replacements by smaller characters are the same pairs seen from the other word.
   A word alone below its node has no neighbour further down and leaves the frontier.
 * with one edit: along the word's next character only. Who reaches the end of a word there has found a neighbour.
 
+Near the root every node has dozens of edges and every wrong turn finds followers, so edits in a word's first `head` characters are
+looked for from the other end: in a second trie, of the words read backwards, they come last. In the first one words enter at
+the node of their first `head` characters, in the second one `head` characters before their end.
+
 Nodes go down to `depth` characters; the label of an edge below is all the rest of a word. Words that share their first `depth`
 characters differ behind them, if in one edit, so that both rests (or one rest and the other one itself) are equal after one deletion:
 hashes of all single deletions are joined and the pairs compared in full. So the number of rounds is bounded, however long words are.
@@ -34,8 +38,8 @@ from barwright.llm.common import durable, named, written
 SHORTEST, RAREST = 7, 2
 #: How many times more frequent a form is than the word.
 RATIO = 10
-#: Deepest node of the trie, and the depth up to which all edges fit into a broadcast: 90 letters, at most 91 * 91 edges.
-DEPTH, SHOWN = 32, 1
+#: Deepest node of a trie, and how many characters at a word's front are looked at from its end.
+DEPTH, HEAD = 32, 3
 #: One run in so many loses a character.
 SLIP = 31
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,18 +75,25 @@ def _edges(words: DataFrame, depth: int, deepest: int) -> DataFrame:
     return own.groupBy(_part(F.col("word"), 1, depth).alias("node"), label.alias("label")).agg(F.count("*").alias("below"))
 
 
-def _walked(words: DataFrame, deepest: int) -> list[DataFrame]:
-    """(word, near) pairs whose edit lies above the deepest nodes, each pair from one of its words."""
-    found = []
-    frontier = words.select("word", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(0).alias("edits"))
-    for depth in range(deepest + 1):
+def _walked(words: DataFrame, deepest: int, enters: Column, levels: range) -> list[DataFrame]:
+    """(word, near) pairs whose edit lies at or behind the depth at which the word enters, above the deepest nodes; each pair from one
+    of its words. `levels`: from the least to the greatest depth at which words enter."""
+    found, carried = [], None
+    for depth in range(levels.start, deepest + 1):
         edges = _edges(words, depth, deepest)
-        if depth <= SHOWN:
-            edges = F.broadcast(edges)  # at most 91 * 91 rows
-        exact = frontier.where("edits = 0")
-        skipped = exact.where(F.length("word") > depth).select("word", (F.col("pos") + 1).alias("pos"), "node", F.lit(1).alias("edits"))
-        edited = frontier.where("edits = 1").unionByName(skipped) if depth < deepest else frontier.where("edits = 1")
+        states = []
+        if depth < levels.stop:
+            entering = words.where(enters == depth)
+            states.append(entering.select("word", F.lit(depth).alias("pos"), _part(F.col("word"), 1, depth).alias("node"), F.lit(0).alias("edits")))
+        if carried is not None:
+            states.append(carried)
+        frontier = states[0] if len(states) == 1 else states[0].unionByName(states[1])
+        edited = frontier.where("edits = 1")
         label = _label(F.col("pos"), depth, deepest)
+        exact = frontier.where("edits = 0")
+        if depth < deepest:
+            skipped = exact.where(F.length("word") > depth)
+            edited = edited.unionByName(skipped.select("word", (F.col("pos") + 1).alias("pos"), "node", F.lit(1).alias("edits")))
         passed = edited.withColumn("label", label).join(edges, ["node", "label"])
         other = F.concat("node", "label")
         step = passed.select("word", (F.col("pos") + 1).alias("pos"), other.alias("node"), F.lit(1).alias("edits"), "label")
@@ -102,9 +113,11 @@ def _walked(words: DataFrame, deepest: int) -> list[DataFrame]:
         )
         level = written(step.unionByName(moved), f"spelling-{depth}")
         found.append(level.where("label = ''").select("word", F.col("node").alias("near")))
-        frontier = level.where("label != ''").drop("label")
-        if frontier.isEmpty():
-            break
+        carried = level.where("label != ''").drop("label")
+        if carried.isEmpty():
+            carried = None
+            if depth + 1 >= levels.stop:
+                break
     return found
 
 
@@ -167,13 +180,29 @@ def _long_pairs(words: DataFrame, deepest: int) -> DataFrame | None:
     return met.select("word", "near").mapInArrow(_confirmed, "word string, near string")
 
 
-def neighbours(words: DataFrame, deepest: int = DEPTH) -> DataFrame:
+def neighbours(words: DataFrame, deepest: int = DEPTH, head: int = HEAD) -> DataFrame:
     """(word, near) of all words that differ by one inserted, deleted or replaced character, in both directions. words: distinct."""
-    pairs = _walked(words, deepest)
-    long = _long_pairs(words, deepest)
-    every = pairs[0]
-    for part in [*pairs[1:], *([long] if long is not None else [])]:
-        every = every.unionByName(part)
+    sizes = words.agg(F.min(F.length("word")).alias("least"), F.max(F.length("word")).alias("most")).first()
+    if sizes["least"] is None:
+        return words.select("word", F.col("word").alias("near"))
+    length = F.length("word")
+    tries = (
+        (words, F.least(length, F.lit(head)), range(min(sizes["least"], head), min(sizes["most"], head) + 1), F.col),
+        (
+            words.select(F.reverse("word").alias("word")),
+            F.greatest(length - head, F.lit(0)),
+            range(max(sizes["least"] - head, 0), max(sizes["most"] - head, 0) + 1),
+            F.reverse,
+        ),
+    )
+    every = None
+    for spelled, enters, levels, read in tries:
+        long = _long_pairs(spelled, deepest)
+        for part in [*_walked(spelled, deepest, enters, levels), *([long] if long is not None else [])]:
+            part = part.select(read("word").alias("word"), read("near").alias("near"))
+            every = part if every is None else every.unionByName(part)
+    if every is None:
+        return words.where(F.lit(False)).select("word", F.col("word").alias("near"))
     every = every.where("word != near")
     both = every.unionByName(every.select(F.col("near").alias("word"), F.col("word").alias("near")))
     return durable(both.distinct())
