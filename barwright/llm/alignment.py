@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: groups of tokens of two tokenizers that cover the same bytes, and how usual their links are.
 
-Both tokenizers read a space and the text. The ends of tokens in bytes, summed up along the text, go into one dictionary
-per tokenizer (end to index); the ends that both know, sorted, cut both id lists into groups, and all pairs inside a group are
+Both tokenizers read a space and the text. The ends of tokens in bytes are summed up along the text, for all new pieces of a batch
+in one array per tokenizer; the ends that both know, sorted, cut both id lists into groups, and all pairs inside a group are
 links. Neither tokenizer merges from a character that is no white space into white space, or from a letter into a full stop, comma
 and the like, so a text is cut there, and a worker keeps what it found for a piece; a piece's end is always a common end. The
 vocabularies are asked whether that holds: signs that break it do not cut, and texts with white space that breaks it stay whole.
@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from hashlib import sha256
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ _LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", ",.;:!?"
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Longer pieces are left to the library that the vocabulary file is made for.
 _RANKED_CHARS = 256
-_NO_TOKENS = (0, 0, 0, 0, b"", ())
+_NO_TOKENS = (0, 0, 0, 0, b"", b"")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -56,15 +56,18 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def stretches(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The common ends, and (from, to) in the first and in the second array of every stretch between two of them."""
+    size = max([0, *a_ends[-1:], *b_ends[-1:]]) + 1
+    in_a, in_b = (np.bincount(x, minlength=size) for x in (a_ends, b_ends))
+    ends = np.flatnonzero((in_a > 0) & (in_b > 0))
+    a_to, b_to = (np.cumsum(x)[ends] for x in (in_a, in_b))
+    return ends, np.concatenate([[0], a_to])[:-1], a_to, np.concatenate([[0], b_to])[:-1], b_to
+
+
 def groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
     """(from, to) of the first and of the second list for every stretch between two common ends."""
-    a_at = {end: k + 1 for k, end in enumerate(a_ends)}
-    b_at = {end: k + 1 for k, end in enumerate(b_ends)}
-    out, a, b = [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        out.append((a, a_at[end], b, b_at[end]))
-        a, b = a_at[end], b_at[end]
-    return out
+    return list(zip(*(x.tolist() for x in stretches(np.array(a_ends, np.int64), np.array(b_ends, np.int64))[1:])))
 
 
 def ranked(a_json: str, entries: list[bytes]):
@@ -87,7 +90,7 @@ def ranked(a_json: str, entries: list[bytes]):
 
 
 class Aligner:
-    """Pieces of a text -> (tokens A, tokens B, groups, links, the groups as text, pair keys with repeats), or None if the bytes differ."""
+    """Pieces of a text -> (tokens A, tokens B, groups, links, the groups as text, bytes of the pair keys with repeats), or None if the bytes differ."""
 
     def __init__(self, a_json: str, b_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -107,6 +110,10 @@ class Aligner:
             bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode("utf-8") for p in pieces
         ]
         self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.a_sizes, self.b_sizes = np.array(self.a_size, np.int64), np.array(self.b_size, np.int64)
+        #: Ids in decimal, four times: in front of another one, of the other tokenizer's, of the next group, of nothing.
+        numbers = [str(k).encode() for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.said = np.array([n + sign for sign in (b",", b"|", b";", b"") for n in numbers], object)
         self.ranks = ranked(a_json, self.a_bytes)
         # White space that an entry holds behind another character: texts with it are not cut.
         entries = [*pieces, *(x.decode("utf-8", "ignore") for x in self.a_bytes)]
@@ -143,27 +150,50 @@ class Aligner:
                 found[k] = found[k][2:] if found[k][:2] == self.mark else None
         return found
 
-    def _aligned(self, piece: str, a: list[int], b: list[int] | None) -> tuple | None:
-        body = piece.encode("utf-8")
-        b_bytes = self.b_bytes
-        if b is None or b"".join([b_bytes[x] for x in b]) != body:
-            return None
-        a_ends = list(accumulate([self.a_size[x] for x in a]))
-        if a_ends[-1] != len(body):
-            return None
-        if len(a) == 1 or len(b) == 1:  # the end of the piece is the only common one
-            said = ",".join(map(str, a)) + "|" + ",".join(map(str, b))
-            return len(a), len(b), 1, len(a) * len(b), said.encode(), tuple([x << _LOW | y for x in a for y in b])
-        cut = groups(a_ends, list(accumulate([self.b_size[x] for x in b])))
-        text, keys = [], []
-        for a0, a1, b0, b1 in cut:
-            if a1 - a0 == b1 - b0 == 1:
-                text.append(f"{a[a0]}|{b[b0]}")
-                keys.append(a[a0] << _LOW | b[b0])
-            else:
-                text.append(",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])))
-                keys += [x << _LOW | y for x in a[a0:a1] for y in b[b0:b1]]
-        return len(a), len(b), len(cut), len(keys), ";".join(text).encode(), tuple(keys)
+    def _aligned(self, pieces: list[str], a: list[list[int]], b: list[list[int] | None]) -> list[tuple | None]:
+        """What is known of each piece. The ends of all pieces' tokens go through `stretches` as one sequence: a piece's end is common."""
+        out: list[tuple | None] = [None] * len(pieces)
+        bodies = [p.encode("utf-8") for p in pieces]
+        b_bytes, a_size = self.b_bytes.__getitem__, self.a_size.__getitem__
+        held = [
+            k
+            for k, (body, x, y) in enumerate(zip(bodies, a, b))
+            if y is not None and b"".join(map(b_bytes, y)) == body and sum(map(a_size, x)) == len(body)
+        ]
+        if not held:
+            return out
+        a_many, b_many = ([len(own[k]) for k in held] for own in (a, b))
+        a_ids, b_ids = (
+            np.fromiter(chain.from_iterable([own[k] for k in held]), np.int64, sum(many)) for own, many in ((a, a_many), (b, b_many))
+        )
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        piece_ends = np.cumsum([len(bodies[k]) for k in held])
+        ends, a_from, a_to, b_from, b_to = stretches(a_ends, b_ends)
+        # All pairs inside a group.
+        wide = b_to - b_from
+        many = (a_to - a_from) * wide
+        group = np.repeat(np.arange(len(ends)), many)
+        before = np.concatenate([[0], np.cumsum(many)])
+        place = np.arange(before[-1]) - before[group]
+        keys = (a_ids[a_from[group] + place // wide[group]] << _LOW | b_ids[b_from[group] + place % wide[group]]).tobytes()
+        # The text: tokens by group, those of A first, each with the sign behind it.
+        a_at = np.arange(len(a_ids)) + np.repeat(b_from, a_to - a_from)
+        b_at = np.arange(len(b_ids)) + np.repeat(a_to, wide)
+        said = np.empty(len(a_ids) + len(b_ids), np.int64)
+        said[a_at], said[b_at] = a_ids, b_ids
+        last = np.searchsorted(ends, piece_ends) + 1  # groups up to the end of each piece
+        said[a_at[a_to - 1]] += len(self.said) // 4
+        said[b_at[b_to - 1]] += len(self.said) // 2
+        said[b_at[b_to[last - 1] - 1]] += len(self.said) // 4
+        text = self.said[said].tolist()
+        cut = np.concatenate([[0], last])
+        n_groups, links = np.diff(cut).tolist(), (before[cut] * 8).tolist()
+        begin = 0
+        for k, n_a, n_b, n_groups_own, k0, k1 in zip(held, a_many, b_many, n_groups, links, links[1:]):
+            end = begin + n_a + n_b
+            out[k] = (n_a, n_b, n_groups_own, (k1 - k0) // 8, b"".join(text[begin:end]), keys[k0:k1])
+            begin = end
+        return out
 
     def table(self, pieces: set[str]) -> dict[str, tuple | None]:
         """What is known of the pieces; each new one is encoded once. The cache has a newer and an older half."""
@@ -177,8 +207,8 @@ class Aligner:
                 out[p] = known[p] = older[p]
             else:
                 new.append(p)
-        for p, a, b in zip(new, self._a_ids(new), self._b_ids(new)):
-            out[p] = found = self._aligned(p, a, b)
+        for p, found in zip(new, self._aligned(new, self._a_ids(new), self._b_ids(new))):
+            out[p] = found
             if len(p) <= CACHED_CHARS:
                 known[p] = found
         return out
@@ -192,22 +222,23 @@ class Aligner:
             except UnicodeDecodeError:
                 cut.append([])
         entries = self.table(set().union(*cut)) if cut else {}
-        code = {p: k for k, p in enumerate(entries)}
+        code = dict(zip(entries, range(len(entries))))
         listed = [e or _NO_TOKENS for e in entries.values()]
-        numbers = np.array([e[:4] for e in listed], np.int64).reshape(-1, 4)
+        n_as, n_bs, n_cuts, width, said, linked_keys = zip(*listed) if listed else ((),) * 6
+        numbers = np.array([n_as, n_bs, n_cuts, width], np.int64).T
         bad = {p for p, e in entries.items() if e is None}
-        keys = np.array([k for e in listed for k in e[5]], np.int64)
-        width = np.array([len(e[5]) for e in listed], np.int64)
+        width = np.array(width, np.int64)
+        keys = np.frombuffer(b"".join(linked_keys), np.int64)
         start = np.concatenate([[0], np.cumsum(width)])
         out = []
         for own in cut:
             if not own or bad and not bad.isdisjoint(own):
                 out.append((0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)))
                 continue
-            codes = np.fromiter(map(code.__getitem__, own), np.int64, len(own))
-            n_a, n_b, n_groups, n_links = numbers[codes].sum(axis=0).tolist()
-            digest = sha256(b";".join([listed[k][4] for k in codes.tolist()])).hexdigest()
-            used, times = np.unique(codes, return_counts=True)
+            at = list(map(code.__getitem__, own))
+            digest = sha256(b";".join(map(said.__getitem__, at))).hexdigest()
+            used, times = np.unique(np.array(at, np.int64), return_counts=True)
+            n_a, n_b, n_groups, n_links = (times @ numbers[used]).tolist()
             many = width[used]
             place = np.repeat(start[used] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
             pair, back = np.unique(keys[place], return_inverse=True)

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -110,3 +111,20 @@ def test_groups():
 def test_query(spark, sf_dir, tokenizers):
     rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     assert Counter(map(tuple, QUERIES["op12_alignment"](spark, sf_dir).select(*COLUMNS).collect())) == plain(rows, tokenizers)
+
+
+def test_pieces_of_a_batch_are_cut_apart(tokenizers):
+    """One pass over the pieces of a batch says of each what a pass over it alone says; pieces whose bytes differ have nothing."""
+    aligner = alignment.Aligner(open(A_FILE, encoding="utf-8").read(), open(B_FILE, "rb").read())
+    pieces = [" and", " unbelievably", " ▁", "7", " l'été,", " x" * 40]
+    both = aligner._a_ids(pieces), aligner._b_ids(pieces)
+    together = aligner._aligned(pieces, *both)
+    assert together == [aligner._aligned([p], [a], [b])[0] for p, a, b in zip(pieces, *both)]
+    assert None in together and together.count(None) < len(pieces)
+    for piece, a, b, found in zip(pieces, *both, together):
+        if found:
+            ends = [[sum(size[:k + 1]) for k in range(len(size))] for size in ([len(aligner.a_bytes[x]) for x in a], [len(aligner.b_bytes[x]) for x in b])]
+            cut = alignment.groups(*ends)
+            text = ";".join(",".join(map(str, a[p:q])) + "|" + ",".join(map(str, b[r:s])) for p, q, r, s in cut)
+            links = [x << 20 | y for p, q, r, s in cut for x in a[p:q] for y in b[r:s]]
+            assert found == (len(a), len(b), len(cut), len(links), text.encode(), np.array(links, np.int64).tobytes())
