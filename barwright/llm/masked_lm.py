@@ -5,7 +5,7 @@ others share hashed codes, and each has its share of the code's count: log P(tok
 Counts of the `_KNOWN` most frequent tokens go to the workers, those of rarer ones are joined. Every document is encoded once, two bytes
 a token, in the shared folder; training rounds and the scoring pass read that and no text. A network sees the two tokens on either side of a place and predicts the token there: one table of vectors per
 offset, summed to a hidden layer, then the token's code in two steps (its group of 32, and its place in the group given the group),
-each a softmax of 32. In training every document has a part of its places masked, drawn by a hash; tasks train on
+each a softmax of 32. In training every place of every document is masked once: a round takes a part of them, drawn by a hash; tasks train on
 their own documents from common weights, which start at the codes' shares of the corpus, and the weights are averaged by the
 number of places, once per round. A document's score
 is the sum over all its places of log P(code of the token | both sides) in `log_prob`, and of log P(token | both sides) in
@@ -17,7 +17,6 @@ gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -34,16 +33,19 @@ SIDE = 32
 #: Codes, of which HASHED are shared by rarer words; one more code stands for places outside a text.
 CODES, HASHED, HIDDEN = SIDE * SIDE, 256, 24
 OFFSETS = (-2, -1, 1, 2)
-#: Share of the places masked, and learning rate, of each round.
-ROUNDS = ((0.02, 0.08), (0.10, 0.05), (0.10, 0.05))
-_KEPT, _COUNTED, _BATCH, _BLOCK = 200_000, 100_000, 2_048, 4_096
+#: Share of the places masked, and learning rate, of each round. The shares are of different places and make up all of them.
+ROUNDS = ((0.10, 0.08), (0.45, 0.05), (0.45, 0.05))
+_KEPT, _COUNTED, _BATCH, _BLOCK = 200_000, 100_000, 8_192, 4_096
 #: Tokens that a worker trains on, or scores, at a time; more where one document has more.
 _AT_ONCE = 400_000
 #: exp() of numbers up to this size, and sums of them, need no scaling in single precision.
 _SAFE = 60
 #: So many of the most frequent tokens are numbered, with their counts, in every worker. Logarithms are added up in units of 1 / _UNIT.
 _KNOWN, _UNIT = 100_000, 1e9
-_SIGN = re.compile(rb"[!-/:-@\[-`{-~]+")
+#: So many draws tell which round masks a place.
+_DRAWS = 10_007
+_SIGNS = bytes(c for c in range(0x21, 0x7F) if not bytes([c]).isalnum())
+_OTHERS = bytes(c for c in range(256) if c not in _SIGNS)
 _SHAPES = {
     "table": (len(OFFSETS), CODES + 1, HIDDEN),
     "bias": (HIDDEN,),
@@ -52,12 +54,14 @@ _SHAPES = {
     "given": (SIDE, SIDE),
 }
 _LANES = 32
+#: Sums of both softmaxes as a product.
+_HALVES = np.repeat(np.eye(2, dtype=np.float32), SIDE, axis=0)
 
 
 def parts_of(piece: bytes) -> tuple[bytes, bytes]:
     """The word of a white-space-free piece, and its signs."""
-    word = _SIGN.sub(b"", piece)
-    return word, piece if not word else b"".join(_SIGN.findall(piece))
+    word = piece.translate(None, _SIGNS)
+    return word, b"" if len(word) == len(piece) else piece.translate(None, _OTHERS)
 
 
 def bucket(token: bytes) -> int:
@@ -220,23 +224,42 @@ class Model:
 
     def step(self, stream: np.ndarray, at: np.ndarray, squares: np.ndarray, rate: float) -> None:
         """One Adagrad step on the places `at`."""
-        context = [stream[at + o] for o in OFFSETS]
-        hidden, expd, sums, _, group, place, rows = self._forward(context, stream[at])
-        delta = expd / sums[:, :, None]
-        delta[rows, 0, group] -= 1
-        delta[rows, 1, place] -= 1
-        delta /= len(at)
-        side = np.arange(SIDE)
-        given = np.bincount((group[:, None] * SIDE + side).ravel(), weights=delta[:, 1].ravel(), minlength=CODES)
-        delta = delta.reshape(len(at), 2 * SIDE)
-        back = (delta @ self.parts["out"].T) * (hidden > 0)
-        lanes = np.arange(HIDDEN)
-        table = [
-            np.bincount((c[:, None] * HIDDEN + lanes).ravel(), weights=back.ravel(), minlength=(CODES + 1) * HIDDEN) for c in context
-        ]
-        grad = np.concatenate([*table, back.sum(axis=0), (hidden.T @ delta).ravel(), delta.sum(axis=0), given])
+        p, n = self.parts, len(at)
+        rows, target = np.arange(n), stream[at]
+        group, place = np.divmod(target, SIDE)
+        hidden = p["table"][0].take(stream[at + OFFSETS[0]], axis=0)
+        for k in range(1, len(OFFSETS)):
+            hidden += p["table"][k].take(stream[at + OFFSETS[k]], axis=0)
+        hidden += p["bias"]
+        np.maximum(hidden, 0, out=hidden)
+        delta = hidden @ p["out"]
+        delta += p["shift"]
+        delta[:, SIDE:] += p["given"].take(group, axis=0)
+        halves = delta.reshape(n, 2, SIDE)
+        if max(delta.max(), -delta.min()) > _SAFE:
+            halves -= halves.max(axis=2, keepdims=True)
+        np.exp(delta, out=delta)
+        halves /= (delta @ _HALVES)[:, :, None]
+        delta[rows, group] -= 1
+        delta[rows, SIDE + place] -= 1
+        delta /= n
+        of_group = np.zeros((n, SIDE), np.float32)
+        of_group[rows, group] = 1
+        back = delta @ p["out"].T
+        back *= hidden > 0
+        table = np.zeros(_SHAPES["table"], np.float32)
+        for k, offset in enumerate(OFFSETS):  # sums by code
+            code = stream[at + offset].astype(np.int16)
+            order = np.argsort(code, kind="stable")
+            code = code[order]
+            heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            table[k][code[heads]] = np.add.reduceat(back.take(order, axis=0), heads, axis=0)
+        ones = np.ones(n, np.float32)
+        ends = ones @ back, (hidden.T @ delta).ravel(), ones @ delta, (of_group.T @ delta[:, SIDE:]).ravel()
+        grad = np.concatenate([table.ravel(), *ends])
         squares += grad * grad
-        self.flat -= (rate * grad / (np.sqrt(squares) + 1e-6)).astype(np.float32)
+        np.divide(grad, np.sqrt(squares) + 1e-6, out=grad, casting="same_kind")
+        self.flat -= np.float32(rate) * grad
 
 
 def joined_stream(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -277,18 +300,25 @@ def codes_of(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.frombuffer(value.as_buffer(), "<i2")
 
 
-def _trainer(sent, share: float, rate: float, number: int):
+def masked(texts: list[np.ndarray], stream: np.ndarray, at: np.ndarray, begin: float, end: float) -> np.ndarray:
+    """The places whose draw lies between two shares of all draws. A draw depends on the place's number in its text and on its
+    neighbours: it is the same on every run and in every round, whatever texts are taken together."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    own = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    luck = (stream[at - 1] * 7919 + stream[at + 1] * 104729 + own * 1299709) % _DRAWS
+    return at[(luck >= round(begin * _DRAWS)) & (luck < round(end * _DRAWS))]
+
+
+def _trainer(sent, begin: float, end: float, rate: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = sent.value
-        model, squares, places = Model(weights.copy()), np.full(len(weights), 1e-3), 0
+        model, squares, places = Model(weights.copy()), np.full(len(weights), 1e-3, np.float32), 0
         waiting, n = [], 0
 
         def train() -> None:
             nonlocal places
             stream, at = joined_stream(waiting)
-            # A draw by place and neighbourhood: the same on every run, and other places in every round.
-            luck = (stream[at - 1] * 7919 + stream[at + 1] * 104729 + np.arange(len(at)) * 1299709 + number * 15485863) % 10007
-            at = at[luck < share * 10007]
+            at = masked(waiting, stream, at, begin, end)
             places += len(at)
             for part in np.array_split(at, max(1, -(-len(at) // _BATCH))):
                 if len(part):
@@ -314,9 +344,10 @@ def _trainer(sent, share: float, rate: float, number: int):
 def trained(texts: DataFrame, share: np.ndarray, rounds=ROUNDS) -> np.ndarray:
     """Weights of the network after training on every document in every round. texts: as `encoded` gives them."""
     context, weights = texts.sparkSession.sparkContext, Model(share=share).flat
-    for number, (masked, rate) in enumerate(rounds):
+    shares = np.cumsum([0.0, *(share for share, _ in rounds)])
+    for begin, end, (_, rate) in zip(shares.tolist(), shares[1:].tolist(), rounds):
         sent = context.broadcast(weights)
-        parts = texts.select("codes").mapInArrow(_trainer(sent, masked, rate, number), "block bigint, lanes array<double>")
+        parts = texts.select("codes").mapInArrow(_trainer(sent, begin, end, rate), "block bigint, lanes array<double>")
         summed = parts.groupBy("block").agg(*[F.sum(F.col("lanes")[k]).alias(f"l{k}") for k in range(_LANES)])
         rows = sorted(summed.collect())  # as many rows as the network has weights, by the lanes
         if rows:

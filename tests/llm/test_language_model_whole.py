@@ -72,3 +72,15 @@ def test_encoded_documents_hold_every_token(spark):
         assert got["n_tokens"] == len(want) and [bytes(t) for t in got["rare"]] == [t for t in want if t not in code]
         own = masked_lm.CODES - masked_lm.HASHED
         assert np.frombuffer(got["codes"], "<i2").tolist() == [code.get(t, own + masked_lm.bucket(t)) for t in want]
+
+
+def test_rounds_mask_every_place_once(spark):
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(0, masked_lm.CODES, n) for n in (0, 1, 700, 3, 4_000)]
+    stream, at = masked_lm.joined_stream(texts)
+    ends = np.cumsum([0.0, *(share for share, _ in masked_lm.ROUNDS)])
+    drawn = [masked_lm.masked(texts, stream, at, a, b) for a, b in zip(ends, ends[1:])]
+    assert sorted(np.concatenate(drawn).tolist()) == at.tolist() and all(len(d) for d in drawn)
+    # Which texts are taken together changes no draw.
+    alone = masked_lm.joined_stream(texts[4:])
+    assert len(masked_lm.masked(texts[4:], *alone, ends[0], ends[1])) == (drawn[0] > at[703]).sum()
