@@ -80,7 +80,8 @@ def _walked(words: DataFrame, deepest: int, enters: Column, levels: range) -> li
     of its words. `levels`: from the least to the greatest depth at which words enter."""
     found, carried = [], None
     for depth in range(levels.start, deepest + 1):
-        edges = _edges(words, depth, deepest)
+        # A task's share of the edges is hashed; the frontier, which is many times larger, is not sorted.
+        edges = _edges(words, depth, deepest).hint("shuffle_hash")
         states = []
         if depth < levels.stop:
             entering = words.where(enters == depth)

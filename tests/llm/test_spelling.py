@@ -1,5 +1,6 @@
 """Spelling variants against a plain version that tries every edit in a dictionary."""
 
+import itertools
 import random
 import re
 import zlib
@@ -98,3 +99,18 @@ def test_empty_table(spark):
 def test_query(spark, sf_dir):
     rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     assert Counter(map(tuple, QUERIES["op11_spelling"](spark, sf_dir).collect())) == plain(rows)
+
+
+def test_levels_do_not_sort_the_frontier(spark, monkeypatch):
+    plans = []
+
+    def written(frame, what):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return frame.localCheckpoint()
+
+    monkeypatch.setattr(spelling, "written", written)
+    words = spark.createDataFrame([(w,) for w in ("letters", "lettters", "lettirs", "others1")], "word string")
+    found = {(r["word"], r["near"]) for r in spelling.neighbours(words).collect()}
+    assert found == {(a, b) for a, b in itertools.permutations(("letters", "lettters", "lettirs"), 2) if {a, b} != {"lettters", "lettirs"}}
+    levels = [p for p in plans if "ShuffledHashJoin" in p]
+    assert levels and not any("SortMergeJoin" in p or "Sort " in p for p in levels)
