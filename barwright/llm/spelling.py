@@ -1,21 +1,24 @@
-"""Spelling variants: words one edit apart, found by walking a relational trie level by level.
+"""Spelling variants: words one edit apart, found by walking a relational trie, several levels in a round.
 
-The trie of all words is an edge table: a node is a prefix, an edge (node, label) leads to the node with one more character, the empty
-label marks the end of a word. A state (word, position, node, edits) says that the word's first `position` characters lead to the node
-with so many edits. Level by level the frontier is joined with the edges of its depth:
+The trie of all words is relational: a node is a prefix, an edge leads from it to the node with one more character. A state (word, position,
+node) says that the word's first `position` characters lead to the node. A word without an edit is at the node of each of its prefixes.
+From there every position of a round's levels is edited at once:
 
-* without edits: along the word's own next character; to every greater sibling of it (a replacement); past the character without
-  leaving the node (a deletion). Insertions and replacements by smaller characters are the same pairs seen from the other word.
-  A word alone below its node has no neighbour further down and leaves the frontier.
-* with one edit: along the word's next character only. Who reaches the end of a word there has found a neighbour.
+* a replacement joins with the edges of the node: all greater siblings of the word's own character behind which the word's next `ahead`
+  characters follow, too; the state goes on behind those;
+* a deletion goes past the character without leaving the node; the last of a run of equal characters stands for them all.
+
+Insertions and replacements by smaller characters are the same pairs seen from the other word. What has its edit, from this round or an
+earlier one, then walks along its word's own characters to the depth at which the round ends, and stays if the trie has that node. Who
+reaches the end of a word there has found a neighbour. The last round walks to the ends of all words.
 
 Near the root every node has dozens of edges and every wrong turn finds followers, so edits in a word's first `head` characters are
-looked for from the other end: in a second trie, of the words read backwards, they come last. In the first one words enter at
-the node of their first `head` characters, in the second one `head` characters before their end.
+looked for from the other end, with the words read backwards, where they come last. Both readings are one trie with two roots and
+walk in the same rounds: forwards, words enter at the node of their first `head` characters, backwards `head` characters before their end.
 
-Nodes go down to `depth` characters; the label of an edge below is all the rest of a word. Words that share their first `depth`
-characters differ behind them, if in one edit, so that both rests (or one rest and the other one itself) are equal after one deletion:
-hashes of all single deletions are joined and the pairs compared in full. So the number of rounds is bounded, however long words are.
+Edits lie above depth `deepest`. Words that share their first `deepest` characters differ behind them, if in one edit, so that both
+rests (or one rest and the other one itself) are equal after one deletion: hashes of all single deletions are joined and the pairs
+compared in full. So the number of rounds is bounded, however long words are.
 
 A word's form is its neighbour of largest count, if that is at least `ratio` times its own; its root follows forms to the last.
 
@@ -38,8 +41,10 @@ from barwright.llm.common import durable, named, written
 SHORTEST, RAREST = 7, 2
 #: How many times more frequent a form is than the word.
 RATIO = 10
-#: Deepest node of a trie, and how many characters at a word's front are looked at from its end.
+#: Depth at which edits end, and how many characters at a word's front are looked at from its end.
 DEPTH, HEAD = 32, 3
+#: Levels of a round, and characters behind a replaced one that its edge has to lead to.
+STRIDE, AHEAD = 8, 4
 #: One run in so many loses a character.
 SLIP = 31
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,62 +68,57 @@ def word_counts(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= rarest)
 
 
-def _label(at: Column, depth: int, deepest: int) -> Column:
-    """What the word holds from position `at` on: a character, nothing at its end, all the rest at the deepest node."""
-    return F.expr("substring(word, pos + 1)") if depth == deepest else _part(F.col("word"), at + 1, 1)
-
-
-def _edges(words: DataFrame, depth: int, deepest: int) -> DataFrame:
-    """(node, label, below) of the nodes of this depth; below: how many words go through the edge."""
-    own = words.where(F.length("word") >= depth).withColumn("pos", F.lit(depth))
-    label = _label(F.col("pos"), depth, deepest)
-    return own.groupBy(_part(F.col("word"), 1, depth).alias("node"), label.alias("label")).agg(F.count("*").alias("below"))
-
-
-def _walked(words: DataFrame, deepest: int, enters: Column, levels: range) -> list[DataFrame]:
-    """(word, near) pairs whose edit lies at or behind the depth at which the word enters, above the deepest nodes; each pair from one
-    of its words. `levels`: from the least to the greatest depth at which words enter."""
+def _read(words: DataFrame, head: int) -> DataFrame:
+    """(back, word, enters): every word forwards and backwards, and the depth from which on its edits are looked for."""
+    length = F.length("word")
+    forwards = words.select(F.lit(False).alias("back"), "word", F.least(length, F.lit(head)).alias("enters"))
+    backwards = words.select(F.lit(True).alias("back"), F.reverse("word").alias("word"), F.greatest(length - head, F.lit(0)).alias("enters"))
+    return forwards.unionByName(backwards)
+
+
+def _edited(read: DataFrame, first: int, until: int) -> DataFrame:
+    """(back, word, pos, node) after one edit at the depths from `first` to before `until`."""
+    begin, end = F.greatest("enters", F.lit(first)), F.least(F.length("word"), F.lit(until))
+    at = read.where(begin < end).select("back", "word", F.explode(F.sequence(begin, end - 1)).alias("pos"))
+    word, pos = F.col("word"), F.col("pos")
+    exact = at.select(
+        "back", "word", "pos", _part(word, 1, pos).alias("node"), _part(word, pos + 1, 1).alias("own"), _part(word, pos + 2, AHEAD).alias("after")
+    )
+    # Words of equal length are at the same depths, so the edges that a replacement needs are those of the states themselves.
+    # They are dealt once, for their distinct rows and for the join; a task's share is hashed, the states are not sorted.
+    by = ["back", "node", "after"]
+    edges = exact.select(*by, F.col("own").alias("label")).repartition(*by).distinct().hint("shuffle_hash")
+    beside = exact.join(edges, by).where("label > own")
+    replaced = beside.select("back", "word", (pos + 1 + F.length("after")).alias("pos"), F.concat("node", "label", "after").alias("node"))
+    deleted = exact.where(F.col("own") != F.substring("after", 1, 1)).select("back", "word", (pos + 1).alias("pos"), "node")
+    return replaced.unionByName(deleted)
+
+
+def _walked(read: DataFrame, deepest: int, longest: int) -> list[DataFrame]:
+    """(back, word, near) pairs whose edit lies at or behind the depth at which the word enters, above `deepest`; each pair from one
+    of its words. `longest`: length of the longest word."""
     found, carried = [], None
-    for depth in range(levels.start, deepest + 1):
-        # A task's share of the edges is hashed; the frontier, which is many times larger, is not sorted.
-        edges = _edges(words, depth, deepest).hint("shuffle_hash")
-        states = []
-        if depth < levels.stop:
-            entering = words.where(enters == depth)
-            states.append(entering.select("word", F.lit(depth).alias("pos"), _part(F.col("word"), 1, depth).alias("node"), F.lit(0).alias("edits")))
+    for first in range(0, deepest, STRIDE):
+        until = min(first + STRIDE, deepest)
+        last = until >= min(deepest, longest)
+        states = _edited(read, first, until)
         if carried is not None:
-            states.append(carried)
-        frontier = states[0] if len(states) == 1 else states[0].unionByName(states[1])
-        edited = frontier.where("edits = 1")
-        label = _label(F.col("pos"), depth, deepest)
-        exact = frontier.where("edits = 0")
-        if depth < deepest:
-            skipped = exact.where(F.length("word") > depth)
-            edited = edited.unionByName(skipped.select("word", (F.col("pos") + 1).alias("pos"), "node", F.lit(1).alias("edits")))
-        passed = edited.withColumn("label", label).join(edges, ["node", "label"])
-        other = F.concat("node", "label")
-        step = passed.select("word", (F.col("pos") + 1).alias("pos"), other.alias("node"), F.lit(1).alias("edits"), "label")
-        if depth == deepest:
-            found.append(step.select("word", F.col("node").alias("near")))
+            states = states.unionByName(carried)
+        word, pos, node = F.col("word"), F.col("pos"), F.col("node")
+        if last:
+            nodes = read.select("back", F.col("word").alias("node"))
+            moved = states.select("back", "word", F.concat(node, F.expr("substring(word, pos + 1)")).alias("node"))
+        else:
+            to = until + AHEAD  # no edge leads further
+            nodes = read.select("back", _part(word, 1, to).alias("node"))
+            more = F.lit(to) - F.length(node)
+            moved = states.select("back", "word", (pos + more).alias("pos"), F.concat(node, _part(word, pos + 1, more)).alias("node"))
+        level = written(moved.join(nodes.hint("shuffle_hash"), ["back", "node"], "left_semi"), f"spelling-{until}")
+        ended = level if last else level.where(F.length("node") < to)
+        found.append(ended.select("back", "word", node.alias("near")))
+        if last:
             break
-        # No edit so far: the own edge while others go through it too, and greater siblings as replacements.
-        beside = exact.withColumn("own", label).join(edges, "node").where(
-            "own != '' and ((label = own and below > 1) or label > own)"
-        )
-        moved = beside.select(
-            "word",
-            (F.col("pos") + 1).alias("pos"),
-            other.alias("node"),
-            F.when(F.col("label") == F.col("own"), 0).otherwise(1).alias("edits"),
-            "label",
-        )
-        level = written(step.unionByName(moved), f"spelling-{depth}")
-        found.append(level.where("label = ''").select("word", F.col("node").alias("near")))
-        carried = level.where("label != ''").drop("label")
-        if carried.isEmpty():
-            carried = None
-            if depth + 1 >= levels.stop:
-                break
+        carried = level.where(F.length("node") == to).select("back", "word", "pos", "node")
     return found
 
 
@@ -164,47 +164,40 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(map(one_edit, batch.column(0).to_pylist(), batch.column(1).to_pylist()), pa.bool_()))
 
 
-def _long_pairs(words: DataFrame, deepest: int) -> DataFrame | None:
-    """(word, near) pairs that share their first `deepest` characters."""
+def _long_pairs(read: DataFrame, deepest: int) -> DataFrame:
+    """(back, word, near) pairs that share their first `deepest` characters."""
     node = _part(F.col("word"), 1, deepest)
-    long = words.where(F.length("word") >= deepest).select("word", node.alias("node"))
-    shared = long.groupBy("node").agg(F.count("*").alias("below")).where("below > 1")
-    long = long.join(shared, "node").select(
-        "word", F.xxhash64("node").alias("seed"), F.expr(f"substring(word, {deepest} + 1)").alias("rest"), F.monotonically_increasing_id().alias("name")
+    long = read.where(F.length("word") >= deepest).select("back", "word", node.alias("node"))
+    shared = long.groupBy("back", "node").agg(F.count("*").alias("below")).where("below > 1")
+    long = long.join(shared, ["back", "node"]).select(
+        "back",
+        "word",
+        F.xxhash64("back", "node").alias("seed"),
+        F.expr(f"substring(word, {deepest} + 1)").alias("rest"),
+        F.monotonically_increasing_id().alias("name"),
     )
     long = written(long, "spelling-long")
-    if long.isEmpty():
-        return None
     hashes = long.select("name", "seed", "rest").mapInArrow(_deleted, "h bigint, name bigint")
     met = hashes.join(hashes.withColumnRenamed("name", "other"), "h").where("name < other").select("name", "other").distinct()
-    met = met.join(long.select("name", "word"), "name").join(long.select(F.col("name").alias("other"), F.col("word").alias("near")), "other")
-    return met.select("word", "near").mapInArrow(_confirmed, "word string, near string")
+    met = met.join(long.select("name", "back", "word"), "name")
+    met = met.join(long.select(F.col("name").alias("other"), "back", F.col("word").alias("near")), ["other", "back"])
+    return met.select("word", "near", "back").mapInArrow(_confirmed, "word string, near string, back boolean")
 
 
 def neighbours(words: DataFrame, deepest: int = DEPTH, head: int = HEAD) -> DataFrame:
     """(word, near) of all words that differ by one inserted, deleted or replaced character, in both directions. words: distinct."""
-    sizes = words.agg(F.min(F.length("word")).alias("least"), F.max(F.length("word")).alias("most")).first()
-    if sizes["least"] is None:
+    longest = words.agg(F.max(F.length("word"))).first()[0]
+    if longest is None:
         return words.select("word", F.col("word").alias("near"))
-    length = F.length("word")
-    tries = (
-        (words, F.least(length, F.lit(head)), range(min(sizes["least"], head), min(sizes["most"], head) + 1), F.col),
-        (
-            words.select(F.reverse("word").alias("word")),
-            F.greatest(length - head, F.lit(0)),
-            range(max(sizes["least"] - head, 0), max(sizes["most"] - head, 0) + 1),
-            F.reverse,
-        ),
-    )
+    read = _read(words, head)
+    parts = _walked(read, deepest, longest)
+    if longest >= deepest:
+        parts.append(_long_pairs(read, deepest))
     every = None
-    for spelled, enters, levels, read in tries:
-        long = _long_pairs(spelled, deepest)
-        for part in [*_walked(spelled, deepest, enters, levels), *([long] if long is not None else [])]:
-            part = part.select(read("word").alias("word"), read("near").alias("near"))
-            every = part if every is None else every.unionByName(part)
-    if every is None:
-        return words.where(F.lit(False)).select("word", F.col("word").alias("near"))
-    every = every.where("word != near")
+    for part in parts:
+        every = part if every is None else every.unionByName(part)
+    forwards = [F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c)).alias(c) for c in ("word", "near")]
+    every = every.select(*forwards)
     both = every.unionByName(every.select(F.col("near").alias("word"), F.col("word").alias("near")))
     return durable(both.distinct())
 

@@ -114,3 +114,16 @@ def test_levels_do_not_sort_the_frontier(spark, monkeypatch):
     assert found == {(a, b) for a, b in itertools.permutations(("letters", "lettters", "lettirs"), 2) if {a, b} != {"lettters", "lettirs"}}
     levels = [p for p in plans if "ShuffledHashJoin" in p]
     assert levels and not any("SortMergeJoin" in p or "Sort " in p for p in levels)
+
+
+def test_rounds_are_few(spark, monkeypatch):
+    rng, written = random.Random(11), []
+    monkeypatch.setattr(spelling, "written", lambda frame, what: (written.append(what), frame.localCheckpoint())[1])
+    words = set()
+    for size in (8, 15, 16, 17, 24, 31, 33):  # an edit at every place, also where rounds meet
+        base = "".join(rng.choice("abcé") for _ in range(size))
+        words |= {base, *(base[:k] + c + base[k + d :] for k in range(size + 1) for c, d in (("", 1), ("z", 0), ("z", 1), (base[k - 1 : k], 0)))}
+    found = pairs(spelling.neighbours(spark.createDataFrame([(w,) for w in sorted(words)], "word string")))
+    assert set(found.values()) == {1}
+    assert set(found) == {(w, x) for w, near in near_of(words).items() for x in near}
+    assert len(written) <= 5  # both ways of reading walk 32 levels in four rounds; one more for long words
