@@ -45,6 +45,8 @@ RATIO = 10
 DEPTH, HEAD = 32, 3
 #: Levels of a round, and characters behind a replaced one that its edge has to lead to.
 STRIDE, AHEAD = 8, 4
+#: Rows of a partition from which a task builds a table that stays in memory; the session's partitions grow in number beyond that.
+_BUILT = 200_000
 #: One run in so many loses a character.
 SLIP = 31
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,9 +78,30 @@ def _read(words: DataFrame, head: int) -> DataFrame:
     return forwards.unionByName(backwards)
 
 
-def _edited(read: DataFrame, first: int, until: int) -> DataFrame:
-    """(back, word, pos, node) after one edit at the depths from `first` to before `until`."""
-    begin, end = F.greatest("enters", F.lit(first)), F.least(F.length("word"), F.lit(until))
+def _depths(first: int, until: int) -> tuple[Column, Column]:
+    """Where a word's edits of the round begin, and before which depth they end."""
+    return F.greatest("enters", F.lit(first)), F.least(F.length("word"), F.lit(until))
+
+
+def _rounds(read: DataFrame, deepest: int) -> tuple[int | None, list[tuple[int, int, int, int]]]:
+    """The length of the longest word, and (first, until, edited places, words of at least `first` characters) of each round."""
+    spans = [(first, min(first + STRIDE, deepest)) for first in range(0, deepest, STRIDE)]
+    places = [F.sum(F.greatest(F.lit(0), end - begin)) for begin, end in (_depths(*span) for span in spans)]
+    long = [F.count_if(F.length("word") >= first) for first, _ in spans]
+    longest, *sizes = read.agg(F.max(F.length("word")), *places, *long).first()
+    return longest, [(*span, *size) for span, size in zip(spans, zip(sizes[: len(spans)], sizes[len(spans) :]))]
+
+
+def _dealt(frame: DataFrame, built: int, by: list[str]) -> DataFrame:
+    """A join's frame of `built` rows, dealt by the join's columns to more partitions where the session's are too few; the other side
+    follows. A table that a join builds in memory cannot be spilled, so its size must not hang on the session's partitions."""
+    parts = -(-built // _BUILT)
+    return frame.repartition(parts, *by) if parts > int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) else frame
+
+
+def _edited(read: DataFrame, first: int, until: int, places: int) -> DataFrame:
+    """(back, word, pos, node) after one edit at the depths from `first` to before `until`, at that many places of words."""
+    begin, end = _depths(first, until)
     at = read.where(begin < end).select("back", "word", F.explode(F.sequence(begin, end - 1)).alias("pos"))
     word, pos = F.col("word"), F.col("pos")
     exact = at.select(
@@ -87,33 +110,34 @@ def _edited(read: DataFrame, first: int, until: int) -> DataFrame:
     # Words of equal length are at the same depths, so the edges that a replacement needs are those of the states themselves.
     # They are dealt once, for their distinct rows and for the join; a task's share is hashed, the states are not sorted.
     by = ["back", "node", "after"]
-    edges = exact.select(*by, F.col("own").alias("label")).repartition(*by).distinct().hint("shuffle_hash")
+    edges = _dealt(exact.select(*by, F.col("own").alias("label")).repartition(*by), places, by).distinct().hint("shuffle_hash")
     beside = exact.join(edges, by).where("label > own")
     replaced = beside.select("back", "word", (pos + 1 + F.length("after")).alias("pos"), F.concat("node", "label", "after").alias("node"))
     deleted = exact.where(F.col("own") != F.substring("after", 1, 1)).select("back", "word", (pos + 1).alias("pos"), "node")
     return replaced.unionByName(deleted)
 
 
-def _walked(read: DataFrame, deepest: int, longest: int) -> list[DataFrame]:
+def _walked(read: DataFrame, deepest: int, longest: int, rounds: list[tuple[int, int, int, int]]) -> list[DataFrame]:
     """(back, word, near) pairs whose edit lies at or behind the depth at which the word enters, above `deepest`; each pair from one
     of its words. `longest`: length of the longest word."""
     found, carried = [], None
-    for first in range(0, deepest, STRIDE):
-        until = min(first + STRIDE, deepest)
+    for first, until, places, words in rounds:
         last = until >= min(deepest, longest)
-        states = _edited(read, first, until)
+        states = _edited(read, first, until, places)
         if carried is not None:
             states = states.unionByName(carried)
         word, pos, node = F.col("word"), F.col("pos"), F.col("node")
+        reached = read.where(F.length("word") >= first)  # states of this round are at least as deep
         if last:
-            nodes = read.select("back", F.col("word").alias("node"))
+            nodes = reached.select("back", F.col("word").alias("node"))
             moved = states.select("back", "word", F.concat(node, F.expr("substring(word, pos + 1)")).alias("node"))
         else:
             to = until + AHEAD  # no edge leads further
-            nodes = read.select("back", _part(word, 1, to).alias("node"))
+            nodes = reached.select("back", _part(word, 1, to).alias("node"))
             more = F.lit(to) - F.length(node)
             moved = states.select("back", "word", (pos + more).alias("pos"), F.concat(node, _part(word, pos + 1, more)).alias("node"))
-        level = written(moved.join(nodes.hint("shuffle_hash"), ["back", "node"], "left_semi"), f"spelling-{until}")
+        by = ["back", "node"]
+        level = written(moved.join(_dealt(nodes, words, by).hint("shuffle_hash"), by, "left_semi"), f"spelling-{until}")
         ended = level if last else level.where(F.length("node") < to)
         found.append(ended.select("back", "word", node.alias("near")))
         if last:
@@ -186,11 +210,11 @@ def _long_pairs(read: DataFrame, deepest: int) -> DataFrame:
 
 def neighbours(words: DataFrame, deepest: int = DEPTH, head: int = HEAD) -> DataFrame:
     """(word, near) of all words that differ by one inserted, deleted or replaced character, in both directions. words: distinct."""
-    longest = words.agg(F.max(F.length("word"))).first()[0]
+    read = _read(words, head)
+    longest, rounds = _rounds(read, deepest)
     if longest is None:
         return words.select("word", F.col("word").alias("near"))
-    read = _read(words, head)
-    parts = _walked(read, deepest, longest)
+    parts = _walked(read, deepest, longest, rounds)
     if longest >= deepest:
         parts.append(_long_pairs(read, deepest))
     every = None

@@ -127,3 +127,22 @@ def test_rounds_are_few(spark, monkeypatch):
     assert set(found.values()) == {1}
     assert set(found) == {(w, x) for w, near in near_of(words).items() for x in near}
     assert len(written) <= 5  # both ways of reading walk 32 levels in four rounds; one more for long words
+
+
+def test_tables_in_memory_do_not_hang_on_the_sessions_partitions(spark, monkeypatch):
+    plans, walked = [], spelling.written
+
+    def written(frame, what):
+        out = walked(frame, what)
+        plans.append((what, frame._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(spelling, "written", written)
+    monkeypatch.setattr(spelling, "_BUILT", 20, raising=False)
+    rng = random.Random(3)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(7, 12))) for _ in range(400)}
+    found = pairs(spelling.neighbours(spark.createDataFrame([(w,) for w in sorted(words)], "word string")))
+    assert set(found.values()) == {1}
+    assert set(found) == {(w, x) for w, near in near_of(words).items() for x in near}
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\)", plans[0][1])]
+    assert len(dealt) >= 4 and min(dealt) >= 2 * len(words) // 20  # both sides of both joins; the session has 8 partitions
